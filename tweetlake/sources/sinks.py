@@ -13,7 +13,7 @@ def _c(col) -> Column:
 
 def write_text(df: DataFrame, path: str, col: str | None = None, overwrite: bool = True) -> None:
     """K1/K8: one line per row.  ``overwrite=False`` fails if the target exists (K8)."""
-    out = df.select(_c(col).alias("value")) if col else df
+    out = df.select(_c(col).alias("value")) if col is not None else df
     out.write.mode("overwrite" if overwrite else "errorifexists").text(path)
 
 
