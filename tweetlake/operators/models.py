@@ -23,10 +23,13 @@ def labelled_points(df: DataFrame, label: str, features: list[str],
                     nominal_arity: dict[str, int] | None = None, keep: list[str] | None = None) -> DataFrame:
     """``(label double, features vector)``; nominal columns carry their arity."""
     nominal_arity = nominal_arity or {}
-    cols = [nominal(c, nominal_arity[c]) if c in nominal_arity else F.col(c).cast("double").alias(c)
-            for c in features]
+    names = [f"_f{i}" for i in range(len(features))]  # kept columns may share a feature's name
+    cols = [nominal(c, nominal_arity[c]).alias(n, metadata={"ml_attr": {"type": "nominal", "name": c,
+                                                                        "vals": [str(v) for v in range(nominal_arity[c])]}})
+            if c in nominal_arity else F.col(c).cast("double").alias(n)
+            for c, n in zip(features, names)]
     base = df.select(*(keep or []), F.col(label).cast("double").alias("label"), *cols)
-    return VectorAssembler(inputCols=features, outputCol="features").transform(base) \
+    return VectorAssembler(inputCols=names, outputCol="features").transform(base) \
         .select(*(keep or []), "label", "features")
 
 
