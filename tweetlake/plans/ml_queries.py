@@ -194,25 +194,28 @@ def q_normalise_tokens(spark, d):
 # ---------------------------------------------------------------------------------------------
 
 @query("tree_regress", """
-SELECT l_orderkey, l_linenumber, round(avg(l_quantity) OVER (PARTITION BY l_linenumber), 6) AS prediction FROM lineitem
+SELECT l_orderkey, l_linenumber, round(avg(l_quantity) OVER (PARTITION BY l_partkey % 6), 6) AS prediction FROM lineitem
 """)
 def q_tree_regress(spark, d):
-    li = table(spark, d, "lineitem")
-    pts = labelled_points(li, "l_quantity", ["l_linenumber"], keep=["l_orderkey", "l_linenumber"])
+    # Six groups: a greedy depth-5 tree separates them whatever order it splits in (seven
+    # could need depth 6), so every leaf predicts its group mean.
+    li = table(spark, d, "lineitem").withColumn("g", F.pmod("l_partkey", F.lit(6)))
+    pts = labelled_points(li, "l_quantity", ["g"], keep=["l_orderkey", "l_linenumber"])
     model = fit_tree_regressor(pts, max_depth=5, max_bins=32)
     return model.transform(pts).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
 
 
 @query("tree_classify", """
-WITH c AS (SELECT l_linenumber, l_partkey % 5 AS label, count(*) AS n FROM lineitem GROUP BY ALL),
-     m AS (SELECT l_linenumber, label FROM (
-             SELECT *, row_number() OVER (PARTITION BY l_linenumber ORDER BY n DESC, label) AS rn FROM c) WHERE rn = 1)
+WITH c AS (SELECT l_suppkey % 6 AS g, l_partkey % 5 AS label, count(*) AS n FROM lineitem GROUP BY ALL),
+     m AS (SELECT g, label FROM (
+             SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, label) AS rn FROM c) WHERE rn = 1)
 SELECT li.l_orderkey, li.l_linenumber, CAST(m.label AS DOUBLE) AS prediction
-FROM lineitem li JOIN m ON li.l_linenumber = m.l_linenumber
+FROM lineitem li JOIN m ON li.l_suppkey % 6 = m.g
 """)
 def q_tree_classify(spark, d):
-    li = table(spark, d, "lineitem").withColumn("cls", F.pmod("l_partkey", F.lit(5)))
-    pts = labelled_points(li, "cls", ["l_linenumber"], keep=["l_orderkey", "l_linenumber"])
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.pmod("l_suppkey", F.lit(6)).alias("g"),
+                                            F.pmod("l_partkey", F.lit(5)).alias("cls"))
+    pts = labelled_points(li, "cls", ["g"], keep=["l_orderkey", "l_linenumber"])
     model = fit_tree_classifier(pts, max_depth=5, max_bins=32, impurity="gini")
     return model.transform(pts).select("l_orderkey", "l_linenumber", "prediction")
 
