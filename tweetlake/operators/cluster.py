@@ -7,6 +7,8 @@ stays in whole-stage codegen and needs no model object.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -66,23 +68,21 @@ def kmeans_cost(df: DataFrame, cols: list[str], cs: list[list[float]]) -> DataFr
 
 
 def discretise(df: DataFrame, cols: list[str], k: int = 5, max_iter: int = 20, seed: int = 11,
-               output: str = "centre", suffix: str | None = None) -> DataFrame:
+               output: str = "centre", suffix: str | None = None, parallelism: int = 4) -> DataFrame:
     """M5a/M5b + J5: one 1-D k-means per column; each row gets, per column, its cluster's
-    centre value (``output='centre'``) or cluster index (``'index'``).  The input is scanned
-    once and cached for the fits; assignment is a column expression chained on the same rows,
-    so values never leave their row (no positional zip)."""
+    centre value (``output='centre'``) or cluster index (``'index'``).
+
+    The input is scanned once and cached for the fits.  The fits are independent, so up to
+    ``parallelism`` of them run as concurrent Spark jobs (as ``pyspark.ml`` tuning does).
+    Assignment is a column expression chained on the same rows, so values never leave their
+    row (no positional zip).  The result reads the cached input; ``df.unpersist()`` when done.
+    """
     suffix = suffix or ("_centre" if output == "centre" else "_cluster")
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = cached
-        for c in cols:
-            model = fit_kmeans(cached, [c], k, max_iter, seed)
-            cs = centres(model)
-            idx = nearest_centre([c], cs)
-            if output == "centre":
-                out = out.withColumn(c + suffix, value_at([v[0] for v in cs], idx))
-            else:
-                out = out.withColumn(c + suffix, idx)
-        return out
-    finally:
-        pass  # the result still reads ``cached``; callers unpersist(df) when done
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(cols)))) as pool:
+        fitted = list(pool.map(lambda c: centres(fit_kmeans(cached, [c], k, max_iter, seed)), cols))
+    out = cached
+    for c, cs in zip(cols, fitted):
+        idx = nearest_centre([c], cs)
+        out = out.withColumn(c + suffix, value_at([v[0] for v in cs], idx) if output == "centre" else idx)
+    return out
