@@ -31,8 +31,13 @@ def test_lookup_join_salted_equals_broadcast(spark):
                                         F.col("id"))
     lookup = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
     a = lookup_join(probe, lookup, ["k"])
-    b = lookup_join(probe, lookup, ["k"], max_broadcast_rows=0, salt_buckets=8)
-    assert a.count() == 3000 and sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+    b = lookup_join(probe, lookup, ["k"], max_broadcast_rows=0)
+    c = lookup_join(probe, lookup, ["k"], max_broadcast_rows=0, hot_key_share=0.1, salt_buckets=8)
+    want = sorted(a.collect())
+    assert a.count() == 3000 and want == sorted(b.select(*a.columns).collect())
+    assert want == sorted(c.select(*a.columns).collect())
+    left = lookup_join(probe, lookup.where("k > 0"), ["k"], "left", max_broadcast_rows=0, hot_key_share=0.1)
+    assert left.count() == 3000 and left.where("w is null").count() == probe.where("k = 0").count()
 
 
 def test_last_row_wins_and_strict_lookup(spark):

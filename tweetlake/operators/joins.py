@@ -1,9 +1,11 @@
 """Lookups against a table that is small today but may not stay small.
 
-``lookup_join`` counts the lookup side first.  Below ``max_broadcast_rows`` it is broadcast;
-above it the join is salted: the lookup side (one row per key) is replicated ``salt_buckets``
-times and each probe row picks one replica by a hash, so a key holding a third of all probe
-rows is spread over ``salt_buckets`` tasks instead of one.
+``lookup_join`` counts the lookup side first.  Up to ``max_broadcast_rows`` it is broadcast.
+Above that the join is shuffled on the key; a probe key that holds a third of all rows is then
+split across tasks by AQE's skew-join handling.  With ``hot_key_share`` set, hot keys are
+also salted explicitly: keys holding at least that share of the probe rows (so at most
+``1 / hot_key_share`` of them -- a proven bound, safe to broadcast) spread their probe rows over
+``salt_buckets`` tasks, and only their lookup rows are replicated.
 """
 
 from __future__ import annotations
@@ -18,19 +20,30 @@ DEFAULT_SALT_BUCKETS = 64
 
 def lookup_join(probe: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                hot_key_share: float | None = None, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Equi-join ``probe`` to ``lookup`` (unique on ``on``) with a size-checked strategy."""
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left joins")
     lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
-    n = lookup.count()
-    if n <= max_broadcast_rows:
+    if lookup.count() <= max_broadcast_rows:
         return probe.join(F.broadcast(lookup), on, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in probe.columns], F.monotonically_increasing_id()),
-                  F.lit(salt_buckets))
-    salted_probe = probe.withColumn("_salt", salt.cast("int"))
-    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted_probe.join(replicated, on + ["_salt"], how).drop("_salt")
+    if hot_key_share is None:
+        return probe.join(lookup, on, how)
+    if not 0.0 < hot_key_share <= 1.0:
+        raise ValueError("hot_key_share must be in (0, 1]")
+    total = probe.count()
+    hot = (probe.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") >= F.lit(total * hot_key_share))
+           .select(*on, F.lit(True).alias("_hot")))
+    # Probe rows of a hot key pick a bucket by position; every other key stays in bucket 0.
+    row_salt = F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()), F.lit(salt_buckets))
+    salted_probe = (probe.join(F.broadcast(hot), on, "left")
+                    .withColumn("_salt", F.when(F.col("_hot"), row_salt).otherwise(F.lit(0)).cast("int"))
+                    .drop("_hot"))
+    buckets = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_lookup = (lookup.join(F.broadcast(hot), on, "left")
+                     .withColumn("_salt", F.explode(buckets)).drop("_hot"))
+    return salted_probe.join(salted_lookup, on + ["_salt"], how).drop("_salt")
 
 
 def last_row_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
