@@ -1,0 +1 @@
+"""The reference has no streaming operators (no watermark, window or state), so nothing is here."""
