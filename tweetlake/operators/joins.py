@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 250_000  # ~10 MB of short keys, Spark's default broadcast size
 DEFAULT_SALT_BUCKETS = 64
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,14 @@ def conversation_words(spark: SparkSession, d: str) -> DataFrame:
     return words_split_on_space(lines, "line")
 
 
+def doc_pairs_and_index(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct ``(doc_id, token)`` pairs, tokenised once and kept (spilling to disk), and the
+    dictionary index built from those pairs -- the corpus is read and split a single time."""
+    pairs = (doc_words(spark, d).select("doc_id", F.col("word").alias("token")).distinct()
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    return pairs, index_tokens(dictionary_from_words(pairs, "token"), "token", "term_id")
+
+
 def doc_token_arrays(spark: SparkSession, d: str) -> DataFrame:
     """``(doc_id, tokens)``: the words of every line of the document, in order."""
     docs = table(spark, d, "documents")
@@ -198,8 +207,8 @@ SELECT DISTINCT w.doc_id, t.term_id, 1.0 AS value
 FROM ({SQL_DOC_WORDS}) w JOIN ({SQL_DICT_INDEX}) t ON w.word = t.token
 """)
 def q_presence_coo(spark, d):
-    pairs = doc_words(spark, d).select("doc_id", F.col("word").alias("token"))
-    return presence_long(pairs, q_dictionary_index(spark, d))
+    pairs, vocab = doc_pairs_and_index(spark, d)
+    return presence_long(pairs, vocab)
 
 
 @query("presence_rows", """
@@ -229,9 +238,8 @@ SELECT p.doc_id, CAST(n.size AS INTEGER) AS size,
 FROM p CROSS JOIN n GROUP BY p.doc_id, n.size
 """)
 def q_sparse_rows(spark, d):
-    vocab = q_dictionary_index(spark, d)
+    pairs, vocab = doc_pairs_and_index(spark, d)
     size = vocab.count()
-    pairs = doc_words(spark, d).select("doc_id", F.col("word").alias("token"))
     return sparse_rows(presence_long(pairs, vocab), size).select("doc_id", "size", "vector_text")
 
 
