@@ -13,7 +13,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 FAST = ["word_count", "word_count_skip", "input_words", "json_field", "valid_id_lines", "sql_range",
         "line_length_filter", "dictionary", "dictionary_index", "doc_index", "presence_coo",
         "presence_rows", "sparse_rows", "first_token_index", "lines_intersect", "bag_union",
-        "json_nested", "schema_table", "pair_text", "libsvm_roundtrip", "vector_text", "round_half_up",
+        "json_nested", "json_sql", "schema_table", "pair_text", "libsvm_roundtrip", "vector_text", "round_half_up",
         "feature_row_text", "keyed_lookup", "kmeans_assign", "kmeans_cost", "normalise_tokens",
         "accuracy", "test_error", "mse", "random_split_union"]
 

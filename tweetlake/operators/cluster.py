@@ -68,7 +68,7 @@ def kmeans_cost(df: DataFrame, cols: list[str], cs: list[list[float]]) -> DataFr
 
 
 def discretise(df: DataFrame, cols: list[str], k: int = 5, max_iter: int = 20, seed: int = 11,
-               output: str = "centre", suffix: str | None = None, parallelism: int = 4) -> DataFrame:
+               output: str = "centre", suffix: str | None = None, parallelism: int = 8) -> DataFrame:
     """M5a/M5b + J5: one 1-D k-means per column; each row gets, per column, its cluster's
     centre value (``output='centre'``) or cluster index (``'index'``).
 
