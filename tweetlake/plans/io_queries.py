@@ -13,12 +13,14 @@ from tweetlake.functions.numeric import composite_key, feature_row_text, round_h
 from tweetlake.operators.joins import last_row_per_key, strict_lookup
 from tweetlake.operators.sql import schema_table
 from tweetlake.operators.wordcount import word_count, word_count_v2
+from tweetlake.functions.numeric import to_double
+from tweetlake.functions.text import strip_brackets
 from tweetlake.plans.registry import query
 from tweetlake.plans.text_queries import SKIP_PATTERNS, SQL_CONV_TOKENS, SQL_DOC_WORDS, doc_lines
 from tweetlake.session import scratch_path
 from tweetlake.sources.json import parse_json_strings, read_json_lines
 from tweetlake.sources.libsvm import read_libsvm
-from tweetlake.sources.sinks import pair_text, tab_text, write_libsvm, write_text
+from tweetlake.sources.sinks import dense_vector_text, pair_text, tab_text, write_libsvm, write_text
 from tweetlake.sources.tables import table
 from tweetlake.sources.text import lines_of, read_numeric_vectors, read_skip_patterns, read_text
 
@@ -193,3 +195,28 @@ def q_keyed_lookup(spark, d):
     joined = strict_lookup(ev, weather, ["day", "event_type"], check_col="w_event_id", on_missing="fail")
     return joined.select("event_id", F.col("value").alias("label"), "w_event_id", "w_value",
                          composite_key("day", "event_type").alias("key_text"))
+
+
+# ---------------------------------------------------------------------------------------------
+# (id, vector) text round trip (K3 K2 K1 -> S1 P11 P12)
+# ---------------------------------------------------------------------------------------------
+
+@query("doc_vector_text", """
+SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS f0, l_quantity AS f1, l_discount AS f2, l_tax AS f3
+FROM lineitem
+""")
+def q_doc_vector_text(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+    li = table(spark, d, "lineitem")
+    vecs = VectorAssembler(inputCols=["l_linenumber", "l_quantity", "l_discount", "l_tax"],
+                           outputCol="v").transform(li.select("l_orderkey", "l_linenumber", "l_quantity",
+                                                              "l_discount", "l_tax"))
+    path = scratch_path(spark, "id-vector-text")
+    write_text(vecs, path, pair_text("l_orderkey", dense_vector_text("v")))
+    back = read_text(spark, path)
+    # "(id,[a,b,c,d])" -> id and the bracketed list; brackets stripped, numbers parsed
+    body = F.expr("substring(value, 2, length(value) - 2)")
+    cut = F.instr(body, ",")
+    nums = F.transform(F.split(strip_brackets(F.substring(body, cut + 1, 1 << 30)), ","), lambda x: to_double(x))
+    parsed = back.select(F.substring(body, 1, cut - 1).cast("bigint").alias("l_orderkey"), nums.alias("v"))
+    return parsed.select("l_orderkey", *[F.col("v")[i].alias(f"f{i}") for i in range(4)])

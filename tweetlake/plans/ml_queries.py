@@ -17,13 +17,13 @@ from tweetlake.functions.stopwords import STOP_WORDS
 from tweetlake.functions.text import join_tokens, normalise_tokens
 from tweetlake.operators.cluster import (centres, discretise, fit_kmeans, kmeans_cost,
                                          nearest_centre)
-from tweetlake.operators.evaluate import accuracy, mse, test_error
+from tweetlake.operators.evaluate import accuracy, mismatches, mse, test_error
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor,
                                         hash_split, labelled_points, random_split, tree_text)
-from tweetlake.operators.topics import count_vectors, fit_lda, top_vocabulary, topic_terms
+from tweetlake.operators.topics import count_vectors, fit_lda, top_vocabulary, topic_rows, topic_terms
 from tweetlake.plans.registry import query
 from tweetlake.session import scratch_path
-from tweetlake.sources.sinks import load_model, save_model
+from tweetlake.sources.sinks import load_model, pair_text, save_model
 from tweetlake.sources.tables import table
 
 # ---------------------------------------------------------------------------------------------
@@ -180,6 +180,15 @@ def q_lda_doc_sums(spark, d):
     return dist.select("doc_id", F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
+# Topic weights are fitted values (EM from a seed), so the text rows have no SQL text;
+# lda_term_totals checks the same matrix through its per-term sums.
+@query("topic_rows")
+def q_topic_rows(spark, d):
+    """M7 + U2: ``Topic i: w w ...`` one row per topic, weights in term order."""
+    model, vocab, _ = _lda_model(spark, d)
+    return topic_rows(topic_terms(model, vocab, spark))
+
+
 @query("normalise_tokens", f"""
 WITH n AS ({SQL_NORM_TOKENS.format(where="WHERE lang = 'en'")})
 SELECT d.doc_id, coalesce(string_agg(n.tok, ' ' ORDER BY n.pos) || ' ', '') AS tokens
@@ -337,6 +346,17 @@ def q_mse(spark, d):
     return mse(li)
 
 
+@query("mismatch_pairs", """
+SELECT doc_id, '(' || CAST(CAST(1 - toxic AS DOUBLE) AS VARCHAR) || ',' || CAST(CAST(quality AS DOUBLE) AS VARCHAR) || ')' AS pair
+FROM labels WHERE 1 - toxic <> quality
+""")
+def q_mismatch_pairs(spark, d):
+    """P8 + K5: the (prediction, label) pairs a rule gets wrong, as ``(p,l)`` text."""
+    lab = table(spark, d, "labels").select("doc_id", (1 - F.col("toxic")).cast("double").alias("prediction"),
+                                           F.col("quality").cast("double").alias("label"))
+    return mismatches(lab).select("doc_id", pair_text("prediction", "label").alias("pair"))
+
+
 # ---------------------------------------------------------------------------------------------
 # Splits (R1 D11)
 # ---------------------------------------------------------------------------------------------

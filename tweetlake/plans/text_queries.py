@@ -14,7 +14,7 @@ from tweetlake.operators.matrix import (dense_presence_text, doc_token_pairs, fi
                                         presence_long, sparse_rows)
 from tweetlake.operators.sets import bag_union, intersect_distinct
 from tweetlake.operators.sql import names_in_range, register_view
-from tweetlake.operators.wordcount import (input_words, word_count, word_count_v2,
+from tweetlake.operators.wordcount import (input_words, word_count, word_count_v2, word_count_v2_observed,
                                            words_split_on_space)
 from tweetlake.sources.text import lines_of
 from tweetlake.sources.tables import table
@@ -99,6 +99,18 @@ def q_input_words(spark, d):
     return input_words(q_word_count_skip(spark, d))
 
 
+@query("input_words_observed", f"""
+SELECT CAST(count(*) AS BIGINT) AS input_words FROM ({SQL_CONV_TOKENS})
+""")
+def q_input_words_observed(spark, d):
+    """A3 as the job counter: the total rides along the counting job as an ``Observation``
+    (no second pass over the input); the counts themselves go to the sink."""
+    counts, obs = word_count_v2_observed(_conversation_lines(spark, d), "line", case_sensitive=False,
+                                         skip_patterns=SKIP_PATTERNS)
+    counts.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(int(obs.get["input_words"]),)], "input_words bigint")
+
+
 # ---------------------------------------------------------------------------------------------
 # JSON (P1 P6)
 # ---------------------------------------------------------------------------------------------
