@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -22,7 +21,7 @@ from tweetlake.operators.cluster import discretise
 from tweetlake.operators.dictionary import dictionary_from_tokens
 from tweetlake.operators.evaluate import mse
 from tweetlake.operators.indexing import index_tokens
-from tweetlake.operators.joins import strict_lookup
+from tweetlake.operators.joins import lookup_join, strict_lookup
 from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
 from tweetlake.operators.models import fit_tree_regressor, labelled_points
 from tweetlake.operators.sql import names_in_range, register_view
@@ -141,9 +140,12 @@ def q_sentiment_points(spark, d):
     """Discretise + strict lookup + labelled points.  Cluster indices are arbitrary labels, so
     each row reports how many rows share its five indices; SQL states that from the values."""
     _, pts = _sentiment_fit(spark, d, fit=False)
-    feats = vector_to_array("features")
-    return pts.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "label",
-                      F.count(F.lit(1)).over(Window.partitionBy(feats)).alias("group_size"))
+    keyed = pts.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "label",
+                       vector_to_array("features").alias("cell"))
+    # At most 5^5 cells: the per-cell counts are a partial aggregate with a proven size bound,
+    # so a cell holding a third of all rows is never gathered into one task.
+    sizes = keyed.groupBy("cell").agg(F.count(F.lit(1)).alias("group_size"))
+    return lookup_join(keyed, sizes, ["cell"]).select("l_orderkey", "l_linenumber", "label", "group_size")
 
 
 @query("sentiment_tree", f"""
