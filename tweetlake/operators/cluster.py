@@ -23,10 +23,19 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 
 def fit_kmeans(df: DataFrame, cols: list[str], k: int, max_iter: int = 20, seed: int = 11,
-               init_mode: str = "k-means||") -> KMeansModel:
-    """M1.  The caller persists ``df`` around the fit (K12) when it is reused."""
-    data = assemble(df.select(*cols), cols)
-    return KMeans(k=k, maxIter=max_iter, seed=seed, initMode=init_mode, featuresCol="features").fit(data)
+               init_mode: str = "k-means||", compress: bool = True) -> KMeansModel:
+    """M1.  The caller persists ``df`` around the fit (K12) when it is reused.
+
+    With ``compress`` the points are first reduced to their distinct values with a count
+    weight (a partial aggregate): the cost and every centre are weighted sums, so the fit is
+    the same, and each Lloyd iteration touches the distinct values instead of every row --
+    readings with one decimal have a few thousand values however many rows there are.
+    """
+    est = KMeans(k=k, maxIter=max_iter, seed=seed, initMode=init_mode, featuresCol="features")
+    if compress:
+        points = df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+        return est.setWeightCol("_weight").fit(assemble(points, cols))
+    return est.fit(assemble(df.select(*cols), cols))
 
 
 def centres(model: KMeansModel) -> list[list[float]]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,25 +34,47 @@ def labelled_points(df: DataFrame, label: str, features: list[str],
         .select(*(keep or []), "label", "features")
 
 
+def compress_points(data: DataFrame, features_col: str = "features", label_col: str = "label",
+                    weight_col: str = "_weight") -> DataFrame:
+    """Identical ``(features, label)`` rows -> one row with a count weight.
+
+    Impurities, likelihoods and their gradients are sums over rows, so a weighted fit on the
+    distinct rows is the fit on all rows.  Grouping is a partial aggregate (a value held by a
+    third of all rows is combined inside each task), and every later pass of the iterative fit
+    touches the distinct rows only.  Feature metadata (nominal arities) is carried over.
+    """
+    meta = data.schema[features_col].metadata
+    grouped = (data.groupBy(vector_to_array(features_col).alias("_f"), F.col(label_col))
+               .agg(F.count(F.lit(1)).cast("double").alias(weight_col)))
+    return grouped.select(array_to_vector("_f").alias(features_col, metadata=meta), label_col, weight_col)
+
+
+def _fit(est, data: DataFrame, compress: bool):
+    if compress:
+        return est.setWeightCol("_weight").fit(compress_points(data))
+    return est.fit(data)
+
+
 def fit_tree_classifier(data: DataFrame, max_depth: int = 5, max_bins: int = 32,
-                        impurity: str = "gini", seed: int = 11):
+                        impurity: str = "gini", seed: int = 11, compress: bool = True):
     """M10."""
-    return DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity,
-                                  seed=seed).fit(data)
+    return _fit(DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity, seed=seed),
+                data, compress)
 
 
-def fit_tree_regressor(data: DataFrame, max_depth: int = 5, max_bins: int = 32, seed: int = 11):
+def fit_tree_regressor(data: DataFrame, max_depth: int = 5, max_bins: int = 32, seed: int = 11,
+                       compress: bool = True):
     """M11/M12 (variance impurity; nominal features from metadata)."""
-    return DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins, impurity="variance",
-                                 seed=seed).fit(data)
+    return _fit(DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins, impurity="variance", seed=seed),
+                data, compress)
 
 
 def fit_logistic(data: DataFrame, fit_intercept: bool = False, reg_param: float = 0.0,
-                 max_iter: int = 100, tol: float = 1e-6):
+                 max_iter: int = 100, tol: float = 1e-6, compress: bool = True):
     """Multinomial logistic regression by L-BFGS (D14 defaults: no intercept, no
     regularisation); the class count comes from the labels."""
-    return LogisticRegression(family="multinomial", fitIntercept=fit_intercept, regParam=reg_param,
-                              maxIter=max_iter, tol=tol).fit(data)
+    return _fit(LogisticRegression(family="multinomial", fitIntercept=fit_intercept, regParam=reg_param,
+                                   maxIter=max_iter, tol=tol), data, compress)
 
 
 def tree_text(model, spark) -> DataFrame:
