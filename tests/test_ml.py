@@ -99,3 +99,21 @@ def test_lda_weights_and_distributions(spark):
     sums = topic_distributions(model, vec, ["doc_id"]).select(F.aggregate(
         vector_to_array("topicDistribution"), F.lit(0.0), lambda a, b: a + b).alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-9 for r in sums)
+
+
+def test_compressed_fits_equal_full_fits(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 4).alias("g1"), (F.col("id") % 3).alias("g2"),
+                                     (F.col("id") % 11).cast("double").alias("y"), (F.col("id") % 2).alias("c"))
+    pts = labelled_points(df, "y", ["g1", "g2"], nominal_arity={"g1": 4, "g2": 3})
+    a = fit_tree_regressor(pts, max_depth=10, compress=True).transform(pts).select("prediction").collect()
+    b = fit_tree_regressor(pts, max_depth=10, compress=False).transform(pts).select("prediction").collect()
+    assert all(abs(x[0] - y[0]) < 1e-9 for x, y in zip(a, b))
+    lp = labelled_points(df, "c", ["g1", "g2"])
+    pa = fit_logistic(lp, compress=True, max_iter=300, tol=1e-10).coefficientMatrix.toArray()
+    pb = fit_logistic(lp, compress=False, max_iter=300, tol=1e-10).coefficientMatrix.toArray()
+    assert abs(pa - pb).max() < 1e-4
+    ca = sorted(c[0] for c in centres(fit_kmeans(df, ["y"], 4, 20, 11, compress=True)))
+    cb = sorted(c[0] for c in centres(fit_kmeans(df, ["y"], 4, 20, 11, compress=False)))
+    assert len(ca) == len(cb) == 4
+    assert kmeans_cost(df, ["y"], [[c] for c in ca]).first().cost <= \
+        kmeans_cost(df, ["y"], [[c] for c in cb]).first().cost * 1.05 + 1e-9
