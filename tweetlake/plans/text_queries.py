@@ -10,7 +10,7 @@ from tweetlake.functions.json import has_string_field, json_field
 from tweetlake.functions.text import longer_than, split_lines, split_on_space
 from tweetlake.operators.dictionary import dictionary_from_counts, dictionary_from_words
 from tweetlake.operators.indexing import index_rows, index_tokens
-from tweetlake.operators.matrix import (dense_presence_text, doc_token_pairs, first_token_index,
+from tweetlake.operators.matrix import (dense_presence_text, first_token_index,
                                         presence_long, sparse_rows)
 from tweetlake.operators.sets import bag_union, intersect_distinct
 from tweetlake.operators.sql import names_in_range, register_view
