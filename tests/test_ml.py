@@ -117,3 +117,11 @@ def test_compressed_fits_equal_full_fits(spark):
     assert len(ca) == len(cb) == 4
     assert kmeans_cost(df, ["y"], [[c] for c in ca]).first().cost <= \
         kmeans_cost(df, ["y"], [[c] for c in cb]).first().cost * 1.05 + 1e-9
+
+
+def test_kmeans_finds_every_value_of_a_duplicated_feature(spark):
+    # Five values with uneven shares, each repeated thousands of times: the k-means|| start
+    # samples distinct values once rows are merged, so no value is left without a centre.
+    df = spark.range(0, 15000).select((F.col("id") % 12 + 1).alias("month")) \
+        .select((F.col("month") % 5).cast("double").alias("m"))
+    assert sorted(c[0] for c in centres(fit_kmeans(df, ["m"], 5, 20, 11))) == [0.0, 1.0, 2.0, 3.0, 4.0]
