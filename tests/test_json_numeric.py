@@ -29,3 +29,17 @@ def test_rounding_and_rows(spark):
     assert r.r == 0.3 and r.t == "1.0"
     assert r.row == "1:0.3 2:1.0 3:2.0 4:4.0 5:4.0"
     assert r.v == 3.5
+
+
+def test_extract_fields_error_policies(spark):
+    import pytest
+    from tweetlake.sources.json import extract_fields
+    rows = [(0, '{"id":"a","t":"x y"}'), (1, '{"id":"b"}'), (2, "{bad"), (3, "[1]"), (4, "")]
+    df = spark.createDataFrame(rows, "i int, v string")
+    drop = extract_fields(df, "v", ["t"], on_error="drop", keep=["i"]).collect()
+    assert [(r.i, r.t) for r in drop] == [(0, "x y")]
+    null = {r.i: r.t for r in extract_fields(df, "v", ["t"], on_error="null", keep=["i"]).collect()}
+    assert null == {0: "x y", 1: None, 2: None, 3: None, 4: None}
+    with pytest.raises(Exception, match="bad JSON record"):
+        extract_fields(df, "v", ["t"], keep=["i"]).collect()
+    assert extract_fields(df.where("i = 0"), "v", ["id", "t"]).first() == ("a", "x y")

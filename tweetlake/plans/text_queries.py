@@ -16,6 +16,7 @@ from tweetlake.operators.sets import bag_union, intersect_distinct
 from tweetlake.operators.sql import names_in_range, register_view
 from tweetlake.operators.wordcount import (input_words, word_count, word_count_v2, word_count_v2_observed,
                                            words_split_on_space)
+from tweetlake.sources.json import extract_fields
 from tweetlake.sources.text import lines_of
 from tweetlake.sources.tables import table
 from tweetlake.plans.registry import query
@@ -159,6 +160,18 @@ def q_valid_id_lines(spark, d):
     return lines.where(has_string_field("line", "id"))
 
 
+@query("json_dictionary", f"""
+SELECT DISTINCT unnest({SQL_SPLIT.format(x="json_extract_string(line, '$.type')")}) AS token
+FROM ({SQL_EVENT_LINES})
+WHERE json_valid(line) AND json_type(line) = 'OBJECT' AND json_extract_string(line, '$.type') IS NOT NULL
+""")
+def q_json_dictionary(spark, d):
+    """A6 over a JSON-lines field with the D2 policy 'drop': malformed lines, arrays, empty
+    lines and records without the field are left out, the rest split on one space."""
+    fields = extract_fields(event_json_lines(spark, d), "line", ["type"], on_error="drop")
+    return fields.select(F.explode(split_on_space("type")).alias("token")).distinct()
+
+
 # ---------------------------------------------------------------------------------------------
 # SQL text, line filter
 # ---------------------------------------------------------------------------------------------

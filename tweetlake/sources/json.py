@@ -40,3 +40,28 @@ def parse_json_strings(df: DataFrame, col: str, schema: StructType | str | None
     else:
         parsed = F.from_json(F.col(col), schema)
     return df.select(*(keep or []), parsed.alias("_j")).select(*(keep or []), "_j.*")
+
+
+def extract_fields(df: DataFrame, col: str, keys: list[str], on_error: str = "fail",
+                   keep: list[str] | None = None) -> DataFrame:
+    """P1 with the D2-D4 policy: the text of each named field of a JSON-object line.
+
+    A record is bad when the line is not a JSON object or a field is missing (or JSON null).
+    ``on_error='fail'`` (the reference's behaviour) fails the job on the first bad record,
+    ``'drop'`` keeps only good records, ``'null'`` keeps every record with NULL fields.
+    """
+    if on_error not in ("fail", "drop", "null"):
+        raise ValueError("on_error must be 'fail', 'drop' or 'null'")
+    line = F.col(col)
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(line)).startswith("OBJECT"), F.lit(False))
+    values = {k: F.when(is_object, F.get_json_object(line, f"$.{k}")) for k in keys}
+    ok = is_object
+    for v in values.values():
+        ok = ok & v.isNotNull()
+    kept = [F.col(c) for c in (keep or [])]
+    if on_error == "drop":
+        return df.where(ok).select(*kept, *[v.alias(k) for k, v in values.items()])
+    if on_error == "null":
+        return df.select(*kept, *[v.alias(k) for k, v in values.items()])
+    bad = F.raise_error(F.concat(F.lit("bad JSON record: "), F.coalesce(line, F.lit("NULL"))))
+    return df.select(*kept, *[F.when(ok, v).otherwise(bad.cast("string")).alias(k) for k, v in values.items()])
