@@ -15,16 +15,22 @@ from tweetlake.sources.sinks import sparse_text
 
 def doc_token_pairs(doc_tokens: DataFrame, doc_col: str = "doc_id", tokens_col: str = "tokens",
                     token_col: str = "token") -> DataFrame:
-    """Distinct ``(doc, token)`` pairs from an array-of-tokens column."""
-    return doc_tokens.select(doc_col, F.explode(tokens_col).alias(token_col)).distinct()
+    """Distinct ``(doc, token)`` pairs from an array-of-tokens column with one row per document.
+    Duplicates are removed inside each row (``array_distinct``), so no shuffle is needed; if a
+    document can span several rows, follow with ``.distinct()``."""
+    return doc_tokens.select(doc_col, F.explode(F.array_distinct(tokens_col)).alias(token_col))
 
 
 def presence_long(pairs: DataFrame, dictionary_index: DataFrame, doc_col: str = "doc_id",
-                  token_col: str = "token", index_col: str = "term_id", **join_kw) -> DataFrame:
+                  token_col: str = "token", index_col: str = "term_id", pairs_distinct: bool = False,
+                  **join_kw) -> DataFrame:
     """J3 + P23: ``(doc_id, term_id, value=1.0)`` for every dictionary term present in a doc.
-    ``pairs`` holds ``(doc, token)`` rows (see ``doc_token_pairs``); duplicates are removed
-    first, so the join sees each (doc, token) once -- presence, not counts."""
-    pairs = pairs.select(doc_col, token_col).distinct()
+    ``pairs`` holds ``(doc, token)`` rows; unless ``pairs_distinct`` says they already are
+    (``doc_token_pairs`` output), duplicates are removed first, so the join sees each
+    (doc, token) once -- presence, not counts."""
+    pairs = pairs.select(doc_col, token_col)
+    if not pairs_distinct:
+        pairs = pairs.distinct()
     hit = lookup_join(pairs, dictionary_index.select(token_col, index_col), [token_col], "inner", **join_kw)
     return hit.select(doc_col, index_col, F.lit(1.0).alias("value"))
 

@@ -53,7 +53,7 @@ def tweet_topics(lines, vocab_size: int = LDA_VOCAB, k: int = 3, max_iter: int =
     tweets = tweets.persist(StorageLevel.MEMORY_AND_DISK)
     dictionary = index_tokens(dictionary_from_tokens(tweets, "tokens"), "token", "term_id")
     n_terms = dictionary.count()
-    rows = sparse_rows(presence_long(doc_token_pairs(tweets), dictionary), n_terms)
+    rows = sparse_rows(presence_long(doc_token_pairs(tweets), dictionary, pairs_distinct=True), n_terms)
     vocab = top_vocabulary(tweets, "tokens", vocab_size)
     vectors = count_vectors(tweets, vocab, "tokens", "features", binary=True)
     model = fit_lda(vectors, k=k, max_iter=max_iter, seed=seed, optimizer="em")

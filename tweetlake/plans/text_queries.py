@@ -10,7 +10,7 @@ from tweetlake.functions.json import has_string_field, json_field
 from tweetlake.functions.text import longer_than, split_lines, split_on_space
 from tweetlake.operators.dictionary import dictionary_from_counts, dictionary_from_words
 from tweetlake.operators.indexing import index_rows, index_tokens
-from tweetlake.operators.matrix import (dense_presence_text, first_token_index,
+from tweetlake.operators.matrix import (dense_presence_text, doc_token_pairs, first_token_index,
                                         presence_long, sparse_rows)
 from tweetlake.operators.sets import bag_union, intersect_distinct
 from tweetlake.operators.sql import names_in_range, register_view
@@ -40,10 +40,10 @@ def conversation_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_pairs_and_index(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct ``(doc_id, token)`` pairs, tokenised once and kept (spilling to disk), and the
-    dictionary index built from those pairs -- the corpus is read and split a single time."""
-    pairs = (doc_words(spark, d).select("doc_id", F.col("word").alias("token")).distinct()
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    """Distinct ``(doc_id, token)`` pairs and the dictionary index built from them.  Each
+    document is one row, so its duplicate words are dropped inside the row (no shuffle); the
+    pairs are kept (spilling to disk) so the corpus is read and split a single time."""
+    pairs = doc_token_pairs(doc_token_arrays(spark, d)).persist(StorageLevel.MEMORY_AND_DISK)
     return pairs, index_tokens(dictionary_from_words(pairs, "token"), "token", "term_id")
 
 
@@ -233,7 +233,7 @@ FROM ({SQL_DOC_WORDS}) w JOIN ({SQL_DICT_INDEX}) t ON w.word = t.token
 """)
 def q_presence_coo(spark, d):
     pairs, vocab = doc_pairs_and_index(spark, d)
-    return presence_long(pairs, vocab)
+    return presence_long(pairs, vocab, pairs_distinct=True)
 
 
 @query("presence_rows", """
@@ -265,7 +265,7 @@ FROM p CROSS JOIN n GROUP BY p.doc_id, n.size
 def q_sparse_rows(spark, d):
     pairs, vocab = doc_pairs_and_index(spark, d)
     size = vocab.count()
-    return sparse_rows(presence_long(pairs, vocab), size).select("doc_id", "size", "vector_text")
+    return sparse_rows(presence_long(pairs, vocab, pairs_distinct=True), size).select("doc_id", "size", "vector_text")
 
 
 @query("first_token_index", f"""
