@@ -39,3 +39,19 @@ def test_libsvm_round_trip(spark):
     write_libsvm(pts, path)
     back = sorted((r.label, tuple(r.features.toArray())) for r in read_libsvm(spark, path, num_features=4).collect())
     assert back == [(0.0, (0.0, 1.0, 0.0, 0.0)), (1.0, (2.0, 0.0, 0.0, 5.0))]
+
+
+def test_skip_patterns_keep_file_order(spark):
+    from tweetlake.sources.text import read_skip_patterns
+    path = scratch_path(spark, "skip")
+    spark.createDataFrame([("ab",), ("[0-9]+",), ("b",)], "value string").coalesce(1).write.text(path)
+    assert read_skip_patterns(spark, path) == ["ab", "[0-9]+", "b"]
+
+
+def test_first_token_lookup_rules(spark):
+    from tweetlake.operators.matrix import first_token_index
+    docs = spark.createDataFrame([(1, ["b", "a"], False), (2, ["zz"], False), (3, [], False), (4, None, True)],
+                                 "doc_id int, tokens array<string>, bad boolean")
+    dic = spark.createDataFrame([("a", 0), ("b", 1)], "token string, term_id bigint")
+    got = {r.doc_id: (r.token, r.term_id) for r in first_token_index(docs, dic, unparseable_col="bad").collect()}
+    assert got == {1: ("b", 1), 2: ("zz", None), 3: (None, None), 4: (None, 1)}
