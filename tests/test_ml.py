@@ -125,3 +125,10 @@ def test_kmeans_finds_every_value_of_a_duplicated_feature(spark):
     df = spark.range(0, 15000).select((F.col("id") % 12 + 1).alias("month")) \
         .select((F.col("month") % 5).cast("double").alias("m"))
     assert sorted(c[0] for c in centres(fit_kmeans(df, ["m"], 5, 20, 11))) == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_kmeans_k50_sizes_cover_every_row(spark, sf_dir):
+    import __spark_entry__ as E
+    out = E.queries()["kmeans_k50"](spark, sf_dir).collect()
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert 0 < len(out) <= 50 and sum(r.size for r in out) == n

@@ -15,7 +15,7 @@ from tweetlake.functions.numeric import round_half_up_text, value_at
 from tweetlake.functions.stem import normalise_and_stem
 from tweetlake.functions.stopwords import STOP_WORDS
 from tweetlake.functions.text import join_tokens, normalise_tokens
-from tweetlake.operators.cluster import (centres, discretise, fit_kmeans, kmeans_cost,
+from tweetlake.operators.cluster import (assemble, centres, centres_table, discretise, fit_kmeans, kmeans_cost,
                                          nearest_centre)
 from tweetlake.operators.evaluate import accuracy, mismatches, mse, test_error
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor,
@@ -78,6 +78,22 @@ def q_kmeans_fit(spark, d):
     return spark.createDataFrame([(round(c[0], 6),) for c in centres(model)], "center double")
 
 
+# A k-means fit with the reference example's parameters (k=50, 20 iterations) reaches a local
+# optimum that SQL cannot state, so this query has no SQL text.
+@query("kmeans_k50")
+def q_kmeans_k50(spark, d):
+    """M1-M3: fit k=50 on two lineitem readings; one row per centre with the number of rows
+    assigned to it (the sizes are a partial aggregate)."""
+    pts = table(spark, d, "lineitem").select(F.col("l_quantity").cast("double").alias("qty"),
+                                             (F.col("l_discount") * 100).alias("disc"))
+    model = fit_kmeans(pts, ["qty", "disc"], k=50, max_iter=20, seed=11)
+    # With 50 centres the model's own predict beats a 50-term literal expression.
+    sizes = (model.transform(assemble(pts, ["qty", "disc"])).groupBy(F.col("prediction").alias("cluster"))
+             .agg(F.count(F.lit(1)).alias("size")))
+    return (centres_table(model, spark).join(sizes, "cluster", "left")
+            .select("cluster", "center", F.coalesce("size", F.lit(0)).alias("size")))
+
+
 def _five_valued(li):
     return li.select(
         "l_orderkey", "l_linenumber",
