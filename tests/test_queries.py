@@ -15,7 +15,8 @@ FAST = ["word_count", "word_count_skip", "input_words", "json_field", "valid_id_
         "presence_rows", "sparse_rows", "first_token_index", "lines_intersect", "bag_union",
         "json_nested", "json_sql", "schema_table", "pair_text", "libsvm_roundtrip", "vector_text", "round_half_up",
         "feature_row_text", "keyed_lookup", "kmeans_assign", "kmeans_cost", "normalise_tokens",
-        "accuracy", "test_error", "mse", "random_split_union"]
+        "accuracy", "test_error", "mse", "random_split_union", "json_dictionary", "mismatch_pairs",
+        "doc_vector_text", "input_words_observed", "tweet_topics", "sentiment_points"]
 
 
 def _norm(v):
