@@ -58,7 +58,12 @@ def last_row_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFram
 def strict_lookup(probe: DataFrame, lookup: DataFrame, on: list[str], check_col: str,
                   on_missing: str = "fail", **kw) -> DataFrame:
     """One output row per probe row.  ``on_missing='fail'`` raises when a key has no
-    lookup row (the reference's behaviour); ``'drop'`` keeps only matched rows."""
+    lookup row (the reference's behaviour); ``'drop'`` keeps only matched rows; ``'null'``
+    keeps unmatched rows with NULL lookup columns.
+
+    ``check_col`` must be a lookup column that is never NULL, and it must stay in the final
+    output: the check is part of that column's expression, so dropping the column later
+    would let Catalyst prune the check away."""
     if on_missing == "drop":
         return lookup_join(probe, lookup, on, "inner", **kw)
     joined = lookup_join(probe, lookup, on, "left", **kw)
