@@ -34,8 +34,8 @@ def op1_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_LEDGER = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM documents),
 g AS (
   SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS w
@@ -49,7 +49,7 @@ m AS (
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
-         len(list_filter(ws, x -> regexp_matches(x, '\p{Lu}') AND NOT regexp_matches(x, '\p{Ll}')))::BIGINT AS n_shouts
+         len(list_filter(ws, lambda x: regexp_matches(x, '\p{Lu}') AND NOT regexp_matches(x, '\p{Ll}')))::BIGINT AS n_shouts
   FROM t LEFT JOIN c USING (doc_id)),
 b AS (
   SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END
