@@ -81,3 +81,9 @@ def op7_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import quality_net
     docs = read_table(spark, sf_dir, "documents")
     return quality_net.score(docs, quality_net.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query("op9_minhash_dedup")
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import minhash_dedup
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
