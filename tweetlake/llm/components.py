@@ -26,8 +26,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         # Large star: every node links its larger neighbours to the smallest node beside it.
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
+        large = (both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         # Small star: every node links itself and its smaller neighbours to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.explode(F.array(

@@ -5,18 +5,17 @@
 2. A class has K MinHash coordinates and is posted under each (coordinate, value).  Values
    posted once cannot collide and are dropped.
 3. Two sets at the wanted similarity agree in at least M of K coordinates (M is K times the
-   similarity less five standard deviations).  So, with a class's postings ordered from rare
+   similarity less four standard deviations).  So, with a class's postings ordered from rare
    to frequent, they also share one of its first (shared postings - M + 1): only this prefix is
    merged, and what a great many documents share is skipped.
 4. Candidate pairs of equal prefix postings are kept if the sizes allow the similarity and at
    least M coordinates collide, and are then confirmed on the full sets.
 5. In every posting list each class is first paired with one hub, the class whose postings
-   are the most common (of a group of edited copies, that nearest to the original).  What is
-   linked through hubs needs no more pairs; then *all* pairs of classes that share a prefix
-   posting and are not yet in one component are tested: by the collisions of a longer
-   signature while the postings are joined, and those that pass on the full sets.  Hence a
-   group of copies costs in proportion to its size, and no pair that could join two components
-   is left out.
+   are the most common (of a group of edited copies, that nearest to the original); linked
+   classes form groups.  Classes that share a posting with another group are paired with its
+   centre.  What is linked by then needs no more pairs; of the rest *all* pairs that share a
+   prefix posting and stand in different components are tested.  No pair that could join two components is
+   left out, and within a component none is made that isn't needed.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; a row
 without doc_id links with nothing, has no component and is kept; repeated rows with one doc_id
@@ -37,11 +36,11 @@ from pyspark.sql import functions as F
 from tweetlake.llm.common import cut, ship
 from tweetlake.llm.components import components
 
-K, WIDE = 64, 256
+K, SALTS = 64, 16
 _MEMO: dict[bytes, bytes] = {}
 _ODD = (np.random.default_rng(11).integers(1, 2**63, 16, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-_COORD = (np.random.default_rng(12).integers(1, 2**63, WIDE, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-_ADD = np.random.default_rng(13).integers(0, 2**63, WIDE, dtype=np.uint64)
+_COORD = (np.random.default_rng(12).integers(1, 2**63, K, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+_ADD = np.random.default_rng(13).integers(0, 2**63, K, dtype=np.uint64)
 _U = np.uint64
 
 
@@ -72,12 +71,12 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def signature(s: np.ndarray, k: int = K) -> np.ndarray:
-    """k postings: the coordinate in the high and its 32-bit minimum in the low half."""
-    low = np.full(k, 2**64 - 1, dtype=_U)
+def signature(s: np.ndarray) -> np.ndarray:
+    """K postings: the coordinate in the high and its 32-bit minimum in the low half."""
+    low = np.full(K, 2**64 - 1, dtype=_U)
     for i in range(0, len(s), 4096):
-        low = np.minimum(low, (s[None, i:i + 4096] * _COORD[:k, None] + _ADD[:k, None]).min(axis=1))
-    return (np.arange(k, dtype=np.int64) << 32) | (low >> _U(32)).astype(np.int64)
+        low = np.minimum(low, (s[None, i:i + 4096] * _COORD[:, None] + _ADD[:, None]).min(axis=1))
+    return (np.arange(K, dtype=np.int64) << 32) | (low >> _U(32)).astype(np.int64)
 
 
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -85,9 +84,9 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return (int(np.add.reduce(_mixed(s, 4)).view(np.int64)), int(np.bitwise_xor.reduce(_mixed(s, 6)).view(np.int64)))
 
 
-def least_matches(similarity: float, k: int = K, deviations: float = 5) -> int:
-    """Collisions of k coordinates that all but very few pairs of the similarity have."""
-    return max(1, math.floor(k * similarity - deviations * math.sqrt(k * similarity * (1 - similarity))))
+def least_matches(similarity: float) -> int:
+    """Collisions that all but about one in ten thousand pairs of just the similarity have."""
+    return max(1, math.floor(K * similarity - 4 * math.sqrt(K * similarity * (1 - similarity))))
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -108,20 +107,19 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(cid, s, wide): full sets and long signatures of the classes ``wanted`` (cid, doc_id, f1, f2)."""
+    """(cid, s): the full sets of the classes ``wanted`` (cid, doc_id, f1, f2)."""
     def full(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            cids, sets, wide = [], [], []
+            cids, sets = [], []
             for cid, f1, f2, t in zip(part["cid"], part["f1"], part["f2"], part["t"], strict=True):
                 s = shingle_set(t, width)
                 if len(s) and fingerprint(s) == (f1, f2):  # a repeated doc_id may have another text
                     cids.append(cid)
                     sets.append(s.view(np.int64))
-                    wide.append(signature(s, WIDE))
-            yield pd.DataFrame({"cid": cids, "s": sets, "wide": wide})
+            yield pd.DataFrame({"cid": cids, "s": sets})
 
     return (docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").alias("t")).join(wanted, "doc_id")
-            .select("cid", "f1", "f2", "t").mapInPandas(full, "cid long, s array<long>, wide array<long>"))
+            .select("cid", "f1", "f2", "t").mapInPandas(full, "cid long, s array<long>"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -138,7 +136,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Sets of at least ``percent`` hundredths similarity are linked.
     """
     ship(docs.sparkSession)
-    matches, wide_matches = least_matches(percent / 100), least_matches(percent / 100, WIDE, 4)
+    matches = least_matches(percent / 100)
     base = cut(_signed(docs, width))
     has = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     # Ids are given after the cut: the rows and their order are fixed from there on.
@@ -162,23 +160,45 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     near = cut(tried.join(side("a"), "a").join(side("b"), "b").where(close)
                .where(F.size(F.array_intersect("i_a", "i_b")) >= matches).select("a", "b"))
     sets = cut(_sets(docs, lists.select("cid").join(classes.select("cid", "doc_id", "f1", "f2"), "cid"), width))
-    label = cut(components(_confirmed(near, sets, percent)))
-    # The rest: pairs that share a prefix posting and stand in different components.
-    at = lists.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    mixed = (at.select("label", F.explode("prefix").alias("item")).groupBy("item")
-             .agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("item"))
-    left = cut(at.select("cid", "label", F.explode("prefix").alias("item")).join(mixed, "item")
-               .groupBy("cid", "label").agg(F.sort_array(F.collect_list("item")).alias("p"))
-               .join(sets.select("cid", F.size("s").alias("n"), "wide"), "cid"))
-    side = lambda x: left.select(F.explode("p").alias("item"), *[F.col(c).alias(f"{c}_{x}") for c in left.columns])
-    rest = (side("a").join(side("b"), "item")
-            .where((F.col("label_a") != F.col("label_b")) & (F.col("cid_a") < F.col("cid_b")) & close)
-            # A pair is met in each posting that it shares and counts in the first.
+    first = cut(components(_confirmed(near, sets, percent)))
+    # Groups of linked classes, each with the class of the most common postings as its centre.
+    at = (lists.join(first.withColumnRenamed("node", "cid"), "cid", "left")
+          .withColumn("alone", F.col("label").isNull()).withColumn("label", F.coalesce("label", "cid")))
+    posted = at.select("cid", "label", "alone", F.explode("prefix").alias("item"))
+    mixed = posted.groupBy("item").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("item")
+    posted = cut(posted.join(mixed, "item"))
+    centre = at.where(~F.col("alone")).groupBy("label").agg(
+        F.max_by("cid", F.struct("common", (-F.col("cid")).alias("low"))).alias("centre"))
+    of = posted.where(~F.col("alone")).select("item", F.col("label").alias("group")).distinct()
+    # A class beside a group that it shares a posting with: once, and of two groups from one side.
+    beside = cut(posted.join(of, "item").where((F.col("label") < F.col("group")) | (F.col("alone") & (F.col("label") != F.col("group"))))
+                 .select("cid", "group").distinct())
+    second = cut(_confirmed(beside.join(centre.withColumnRenamed("label", "group"), "group")
+                            .select(F.col("cid").alias("a"), F.col("centre").alias("b")), sets, percent))
+    linked = first.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    now = cut(components(linked.union(second)))
+    # The rest: classes beside a group, or beside another single class, that are still apart.
+    named = lambda key, name: now.select(F.col("node").alias(key), F.col("label").alias(name))
+    apart = (beside.join(named("cid", "l1"), "cid", "left").join(named("group", "l2"), "group", "left")
+             .where(F.coalesce("l1", "cid") != F.coalesce("l2", "group")).select("cid", "group"))
+    full = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"), F.size("s").alias(f"n_{x}"))
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    members = (first.select(F.col("label").alias("group"), F.col("node").alias("b"))
+               .join(apart.select("group").distinct(), "group").join(full("b"), "b")
+               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    rest = (apart.select(F.col("cid").alias("a"), "group", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"))
+            .join(full("a"), "a").join(members, ["group", "salt"])
+            .where(close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))).select("a", "b"))
+    single = (posted.where("alone").join(named("cid", "l"), "cid", "left").where("l IS NULL")
+              .groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p")))
+    one = lambda x: (single.withColumnRenamed("cid", x).join(side(x), x)
+                     .select(x, F.col("p").alias(f"p_{x}"), f"n_{x}", f"i_{x}", F.explode("p").alias("item")))
+    # A pair is met in each posting that it shares and counts in the first.
+    ones = (one("a").join(one("b"), "item").where((F.col("a") < F.col("b")) & close)
             .where(F.element_at(F.array_intersect("p_a", "p_b"), 1) == F.col("item"))
-            .where(F.size(F.array_intersect("wide_a", "wide_b")) >= wide_matches)
-            .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")))
-    second = _confirmed(cut(rest), sets, percent)
-    whole = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).union(second))
+            .where(F.size(F.array_intersect("i_a", "i_b")) >= matches).select("a", "b"))
+    third = cut(rest.union(_confirmed(cut(ones), sets, percent)))
+    whole = components(now.select(F.col("node").alias("a"), F.col("label").alias("b")).union(third))
     named = (classes.join(whole.withColumnRenamed("node", "cid"), "cid", "left")
              .select("f1", "f2", "n", "doc_id", F.coalesce("label", "cid").alias("label")))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
