@@ -179,25 +179,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     now = cut(components(linked.union(second)))
     # The rest: classes beside a group, or beside another single class, that are still apart.
     named = lambda key, name: now.select(F.col("node").alias(key), F.col("label").alias(name))
-    apart = (beside.join(named("cid", "l1"), "cid", "left").join(named("group", "l2"), "group", "left")
-             .where(F.coalesce("l1", "cid") != F.coalesce("l2", "group")).select("cid", "group"))
+    apart = cut(beside.join(named("cid", "l1"), "cid", "left").join(named("group", "l2"), "group", "left")
+                .where(F.coalesce("l1", "cid") != F.coalesce("l2", "group"))
+                .select("cid", "group", F.col("l1").isNull().alias("alone")))
     full = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"), F.size("s").alias(f"n_{x}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
-    members = (first.select(F.col("label").alias("group"), F.col("node").alias("b"))
-               .join(apart.select("group").distinct(), "group").join(full("b"), "b")
-               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    rest = (apart.select(F.col("cid").alias("a"), "group", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt"))
-            .join(full("a"), "a").join(members, ["group", "salt"])
-            .where(close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))).select("a", "b"))
+    similar = close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
+    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    members = salted(first.select(F.col("label").alias("group"), F.col("node").alias("b"))
+                     .join(apart.select("group").distinct(), "group").join(full("b"), "b"))
+    outside = apart.select(F.col("cid").alias("a"), "group", "alone",
+                           F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt")).join(full("a"), "a")
+    rest = outside.join(members, ["group", "salt"]).where(similar).select("a", "b")
+    others = salted(apart.where("alone").select(F.col("cid").alias("b"), "group").join(full("b"), "b"))
+    beside_one = (outside.where("alone").join(others, ["group", "salt"]).where((F.col("a") < F.col("b")) & similar)
+                  .select("a", "b"))
+    groups = apart.groupBy("cid").agg(F.collect_list("group").alias("g"))
     single = (posted.where("alone").join(named("cid", "l"), "cid", "left").where("l IS NULL")
-              .groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p")))
-    one = lambda x: (single.withColumnRenamed("cid", x).join(side(x), x)
-                     .select(x, F.col("p").alias(f"p_{x}"), f"n_{x}", f"i_{x}", F.explode("p").alias("item")))
+              .groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p"))
+              .join(groups, "cid", "left").join(classes.select("cid", "n", "items"), "cid")
+              .select("cid", "p", F.coalesce("g", F.array().cast("array<bigint>")).alias("g"), "n", "items",
+                      F.explode("p").alias("item")))
+    a, b = single.alias("a"), single.alias("b")
     # A pair is met in each posting that it shares and counts in the first.
-    ones = (one("a").join(one("b"), "item").where((F.col("a") < F.col("b")) & close)
-            .where(F.element_at(F.array_intersect("p_a", "p_b"), 1) == F.col("item"))
-            .where(F.size(F.array_intersect("i_a", "i_b")) >= matches).select("a", "b"))
-    third = cut(rest.union(_confirmed(cut(ones), sets, percent)))
+    ones = (a.join(b, F.col("a.item") == F.col("b.item")).where("a.cid < b.cid")
+            .where(100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+            .where(F.element_at(F.array_intersect("a.p", "b.p"), 1) == F.col("a.item"))
+            .where(~F.arrays_overlap("a.g", "b.g") & (F.size(F.array_intersect("a.items", "b.items")) >= matches))
+            .select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")))
+    third = cut(rest.union(beside_one).union(_confirmed(cut(ones), sets, percent)))
     whole = components(now.select(F.col("node").alias("a"), F.col("label").alias("b")).union(third))
     named = (classes.join(whole.withColumnRenamed("node", "cid"), "cid", "left")
              .select("f1", "f2", "n", "doc_id", F.coalesce("label", "cid").alias("label")))
