@@ -87,3 +87,18 @@ def op7_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import minhash_dedup
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import packing
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_uniform_shards")
+def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import sharding
+    out = sharding.shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    raw = F.coalesce("text", F.lit("")).cast("binary")
+    return out.select("doc_id", (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
+                      F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
