@@ -102,3 +102,30 @@ def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.coalesce("text", F.lit("")).cast("binary")
     return out.select("doc_id", (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
                       F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_url_language_models")
+def op6_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import url_filter
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(pages))
+
+
+@query("op10_capture_index", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS lowest FROM d),
+-- Base 32: two halves of 80 bits, 16 digits of five bits each.
+v AS (
+  SELECT *, list_transform([1, 21], lambda s: list_reduce(list_transform(range(s, s + 20),
+    lambda i: (strpos('0123456789abcdef', substr(h, i, 1)) - 1)::HUGEINT), lambda a, b: a * 16 + b)) AS halves
+  FROM f)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((halves[1 + i // 16] >> (5 * (15 - i % 16))::HUGEINT) & 31::HUGEINT)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = lowest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = lowest THEN NULL ELSE lowest END AS refers_to
+FROM v""")
+def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import warc
+    return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
