@@ -8,8 +8,9 @@ operators; an empty table passes through as an empty table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tweetlake.llm import quality_net, quality_rules
+from tweetlake.llm import minhash_dedup, mixing, packing, quality_net, quality_rules
 from tweetlake.llm.common import read_table
 from tweetlake.session import scratch_path
 
@@ -24,9 +25,25 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs, "v2_full")
 
 
-STAGES = [("quality_classifier", quality_classifier), ("quality_rules", rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return minhash_dedup.keep(docs, width=5, percent=80)
 
-#: The classifier's fitted weights can't be stated in SQL.
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out so that domain tokens meet their targets."""
+    return mixing.mix(docs, docs.select("doc_id", F.col("lang").alias("domain")))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all pieces in sequences of at most 4,096 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality_classifier", quality_classifier), ("quality_rules", rules), ("minhash_near_dedup", near_dedup),
+          ("mixing_to_targets", mix), ("best_fit_packing", pack)]
+
+#: The classifier's fitted weights and the packing can't be stated in SQL; tests use brute force.
 ORACLE_SQL = None
 
 

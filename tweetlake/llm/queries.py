@@ -129,3 +129,16 @@ FROM v""")
 def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import warc
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"))
+
+
+@query("op2_projection_dedup")
+def op2_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import projection_dedup
+    return projection_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_soft_mixing")
+def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import mixing
+    docs = read_table(spark, sf_dir, "documents")
+    return mixing.rates(docs, docs.select("doc_id", F.col("lang").alias("domain")))
