@@ -18,6 +18,7 @@ for itself; an empty table gives an empty result; other columns do not enter.
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,8 +30,14 @@ from pyspark.sql import functions as F
 from tweetlake.llm.common import cut, ship
 
 CAPACITY, CLOSING_ID = 4096, 1
-_MEMO: dict[bytes, bytes] = {}
-_TOKENIZERS: dict[str, object] = {}
+#: What is remembered: the present and the former generation; what is met again moves up.
+_CHUNKS: dict[bytes, bytes] = {}
+_CHUNKS_BEFORE: dict[bytes, bytes] = {}
+_WORDS: dict[str, bytes] = {}
+_WORDS_BEFORE: dict[str, bytes] = {}
+GENERATION = 250_000
+_TOKENIZERS: dict[str, tuple] = {}
+_PLAIN = frozenset(".,;:!?#*$%&|-")
 _FAR = 1 << 42
 
 
@@ -39,25 +46,85 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def token_bytes(text: str, path: str) -> bytes:
-    """The text's ids and the closing id as little-endian unsigned 32-bit numbers."""
-    chunks = text.encode().split()
-    new = {c for c in chunks if c not in _MEMO}
+def _tokenizer(path: str) -> tuple:
+    """The tokenizer, and which ids end a word; other paths' memories are dropped."""
+    if path not in _TOKENIZERS:
+        from tokenizers import Tokenizer
+        for memo in (_TOKENIZERS, _CHUNKS, _CHUNKS_BEFORE, _WORDS, _WORDS_BEFORE):
+            memo.clear()
+        t = Tokenizer.from_file(path)
+        vocab = t.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        _TOKENIZERS[path] = t, ends
+    return _TOKENIZERS[path]
+
+
+def _words(chunk: str) -> tuple[str, ...] | None:
+    """The words that the tokenizer sees in a plain chunk; None for chunks that it must split."""
+    low = chunk.lower()
+    if "\u03a3" in chunk or not (low.isascii() or unicodedata.is_normalized("NFC", low)):
+        return None
+    if low.isalpha():
+        return (low,)
+    if low[:-1].isalpha() and low[-1] in _PLAIN:
+        return low[:-1], low[-1]
+    return (low,) if _PLAIN.issuperset(low) else None
+
+
+def _unknown(keys: set, now: dict, before: dict) -> set:
+    """The keys of neither generation; those of the former move to the present."""
+    out = set()
+    for k in keys:
+        if k not in now:
+            v = before.get(k)
+            if v is None:
+                out.add(k)
+            else:
+                now[k] = v
+    return out
+
+
+def _learn(chunks: list[bytes], path: str) -> None:
+    """Remember the ids of chunks: unseen words are encoded together and parted at word ends."""
+    t, ends = _tokenizer(path)
+    split = {c: _words(c.decode()) for c in chunks}
+    new = list(_unknown({w for ws in split.values() if ws for w in ws}, _WORDS, _WORDS_BEFORE))
+    odd = [c for c, ws in split.items() if ws is None]
+    for i in range(0, len(new), 1000):
+        group = new[i:i + 1000]
+        ids = np.array(t.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.flatnonzero(ends[ids]) + 1
+        if len(at) == len(group) and (not len(at) or at[-1] == len(ids)):
+            raw, lo = ids.tobytes(), 0
+            for w, hi in zip(group, (4 * at).tolist(), strict=True):
+                _WORDS[w] = raw[lo:hi]
+                lo = hi
+        else:
+            for w, e in zip(group, t.encode_batch_fast(group, add_special_tokens=False), strict=True):
+                _WORDS[w] = np.array(e.ids, dtype="<u4").tobytes()
+    for c, e in zip(odd, t.encode_batch_fast([c.decode() for c in odd], add_special_tokens=False), strict=True):
+        _CHUNKS[c] = np.array(e.ids, dtype="<u4").tobytes()
+    for c, ws in split.items():
+        if ws:
+            _CHUNKS[c] = _WORDS[ws[0]] if len(ws) == 1 else _WORDS[ws[0]] + _WORDS[ws[1]]
+
+
+def token_bytes(texts: list[str], path: str) -> list[bytes]:
+    """Each text's ids and the closing id as little-endian unsigned 32-bit numbers."""
+    _tokenizer(path)
+    for now, before in ((_CHUNKS, _CHUNKS_BEFORE), (_WORDS, _WORDS_BEFORE)):
+        if len(now) > GENERATION:
+            before.clear()
+            before.update(now)
+            now.clear()
+    split = [t.encode().split() for t in texts]
+    new = _unknown({c for chunks in split for c in chunks if c not in _CHUNKS}, _CHUNKS, _CHUNKS_BEFORE)
     if new:
-        if path not in _TOKENIZERS:
-            from tokenizers import Tokenizer
-            _TOKENIZERS.clear()
-            _MEMO.clear()
-            new = set(chunks)
-            _TOKENIZERS[path] = Tokenizer.from_file(path)
-        if len(_MEMO) > 500_000:
-            _MEMO.clear()
-            new = set(chunks)
-        todo = list(new)
-        found = _TOKENIZERS[path].encode_batch_fast([c.decode() for c in todo], add_special_tokens=False)
-        for c, e in zip(todo, found, strict=True):
-            _MEMO[c] = np.array(e.ids, dtype="<u4").tobytes()
-    return b"".join([_MEMO[c] for c in chunks]) + CLOSING_ID.to_bytes(4, "little")
+        _learn(list(new), path)
+    end = CLOSING_ID.to_bytes(4, "little")
+    get = _CHUNKS.__getitem__
+    return [b"".join(map(get, chunks)) + end for chunks in split]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -67,11 +134,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for doc, text in zip(part["doc_id"].astype("Int64"), part["t"], strict=True):
-                raw = token_bytes(text or "", path)
-                for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                    ids = raw[at:at + 4 * capacity]
-                    rows.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids)) + ((ids,) if with_ids else ()))
+            docs_, texts = part["doc_id"].astype("Int64"), [t or "" for t in part["t"].tolist()]
+            for i in range(0, len(texts), 100):
+                for doc, raw in zip(docs_[i:i + 100], token_bytes(texts[i:i + 100], path), strict=True):
+                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
+                        ids = raw[at:at + 4 * capacity]
+                        rows.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids)) + ((ids,) if with_ids else ()))
             names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
             out = pd.DataFrame(rows, columns=names)
             out["doc_id"] = out["doc_id"].astype("Int64")

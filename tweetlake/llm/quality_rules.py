@@ -96,7 +96,9 @@ def keep(docs: DataFrame, policy: str = "v2_full", text_col: str = "text") -> Da
     bits = F.lit(0).cast("long")
     for i, rule in enumerate(RULES.values()):
         bits = bits.bitwiseOR(F.when(F.expr(rule), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-    return df.where(passes(bits, POLICIES[policy])).select("_doc.*")
+    # A filter would be pushed below the measurements, and each of them evaluated many times.
+    kept = F.explode_outer(F.when(passes(bits, POLICIES[policy]), F.array("_doc"))).alias("_kept")
+    return df.select(kept).where("_kept IS NOT NULL").select("_kept.*")
 
 
 def ablation(led: DataFrame, policies: Mapping[str, tuple[str, ...]] = POLICIES,
