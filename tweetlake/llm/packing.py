@@ -35,7 +35,7 @@ _CHUNKS: dict[bytes, bytes] = {}
 _CHUNKS_BEFORE: dict[bytes, bytes] = {}
 _WORDS: dict[str, bytes] = {}
 _WORDS_BEFORE: dict[str, bytes] = {}
-GENERATION = 250_000
+GENERATION = 500_000
 _TOKENIZERS: dict[str, tuple] = {}
 _PLAIN = frozenset(".,;:!?#*$%&|-")
 _FAR = 1 << 42
