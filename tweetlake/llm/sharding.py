@@ -17,6 +17,8 @@ replaced.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,11 +49,14 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> in
         return 0
     if good + bad < 10**9:
         return int(rng.hypergeometric(good, bad, n))
-    # Beyond numpy's range: the sum of draws from halves, each drawn exactly.
-    half_good, half_bad = good // 2, bad // 2
-    first = _hypergeometric(rng, half_good + half_bad, good + bad - half_good - half_bad, n)
-    return _hypergeometric(rng, half_good, half_bad, first) + _hypergeometric(
-        rng, good - half_good, bad - half_bad, n - first)
+    # Beyond numpy's range: the probabilities around the mode, from the ratios of neighbours.
+    mode = (n + 1) * (good + 1) // (good + bad + 2)
+    wide = 14 * (math.isqrt(n * good // (good + bad) * bad // (good + bad)) + 2)
+    k = np.arange(max(0, n - bad, mode - wide), min(n, good, mode + wide) + 1, dtype=np.float64)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(good - k[:-1]) + np.log(n - k[:-1]) - np.log(k[:-1] + 1)
+                                            - np.log(bad - n + k[:-1] + 1))])
+    total = np.cumsum(np.exp(logs - logs.max()))
+    return int(k[min(len(k) - 1, np.searchsorted(total, rng.random() * total[-1], side="right"))])
 
 
 def shard(df: DataFrame, n_shards: int = 40, seed: int = 0, block_rows: int = 20_000) -> DataFrame:
@@ -60,7 +65,8 @@ def shard(df: DataFrame, n_shards: int = 40, seed: int = 0, block_rows: int = 20
     names = [c for c in df.columns if c not in ("shard", "slot")]
     rows = df.select(*names)
     total = rows.count()
-    n_blocks = max(1, -(-total // block_rows))
+    # The matrix is drawn on the driver: at most 20,000 blocks.
+    n_blocks = max(1, min(20_000, -(-total // block_rows)))
     # Equal rows are told apart by their place only; any order of them is the same result.
     key = [F.xxhash64(*names, F.lit(f"{seed}-{k}")) for k in range(3)]
     blocked = rows.select(F.struct(*names).alias("_row"), F.pmod(key[0], F.lit(n_blocks)).alias("_block"), key[1].alias("_k1"), key[2].alias("_k2"))
