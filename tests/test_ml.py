@@ -8,7 +8,7 @@ from tweetlake.operators.evaluate import accuracy, mse
 from tweetlake.operators.evaluate import test_error as error_rate
 from tweetlake.operators.models import (fit_logistic, fit_tree_regressor, hash_split, labelled_points,
                                         tree_text)
-from tweetlake.operators.topics import count_vectors, fit_lda, topic_distributions, topic_terms
+from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions, topic_terms
 
 
 def _grid(spark, n=500):
@@ -85,20 +85,15 @@ def test_hash_split_depends_on_key_only(spark):
 
 
 def test_lda_weights_and_distributions(spark):
-    docs = spark.createDataFrame([(i, ["apple", "pear"] * (i % 3 + 1) + (["car", "bus"] if i % 2 else []))
-                                  for i in range(40)], "doc_id int, tokens array<string>")
-    vocab = ["apple", "bus", "car", "pear"]
-    vec = count_vectors(docs, vocab)
-    model = fit_lda(vec, k=2, max_iter=10)
-    terms = topic_terms(model, vocab, spark)
-    totals = {r.term: r.t for r in terms.groupBy("term").agg(F.sum("weight").alias("t")).collect()}
-    counts = {r.t: r.c for r in docs.select(F.explode("tokens").alias("t")).groupBy("t").count()
-              .withColumnRenamed("count", "c").collect()}
-    for t in vocab:
-        assert abs(totals[t] - counts[t]) < 1e-6
-    sums = topic_distributions(model, vec, ["doc_id"]).select(F.aggregate(
-        vector_to_array("topicDistribution"), F.lit(0.0), lambda a, b: a + b).alias("s")).collect()
-    assert all(abs(r.s - 1.0) < 1e-9 for r in sums)
+    rows = spark.createDataFrame([(i, [0, 3] + ([1, 2] if i % 2 else [])) for i in range(40)] + [(40, [])],
+                                 "doc_number long, indices array<bigint>")
+    vec = row_vectors(rows, 5)
+    weights = fitted_weights(fit_lda(vec, k=2, max_iter=10))
+    totals = {r.term_id: r.t for r in topic_terms(weights).groupBy("term_id").agg(F.sum("weight").alias("t")).collect()}
+    assert {t: round(w, 6) for t, w in totals.items()} == {0: 40, 1: 20, 2: 20, 3: 40}
+    dist = {r.doc_number: r.topicDistribution for r in topic_distributions(weights, vec, 2).collect()}
+    assert len(dist) == 41 and dist[40] == [0.0, 0.0]
+    assert all(abs(sum(dist[i]) - 1.0) < 1e-9 for i in range(40))
 
 
 def test_compressed_fits_equal_full_fits(spark):

@@ -31,12 +31,12 @@ def test_lookup_join_salted_equals_broadcast(spark):
                                         F.col("id"))
     lookup = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
     a = lookup_join(probe, lookup, ["k"])
-    b = lookup_join(probe, lookup, ["k"], max_broadcast_rows=0)
-    c = lookup_join(probe, lookup, ["k"], max_broadcast_rows=0, hot_key_share=0.1, salt_buckets=8)
+    b = lookup_join(probe, lookup, ["k"])
+    c = lookup_join(probe, lookup, ["k"], hot_key_share=0.1, salt_buckets=8)
     want = sorted(a.collect())
     assert a.count() == 3000 and want == sorted(b.select(*a.columns).collect())
     assert want == sorted(c.select(*a.columns).collect())
-    left = lookup_join(probe, lookup.where("k > 0"), ["k"], "left", max_broadcast_rows=0, hot_key_share=0.1)
+    left = lookup_join(probe, lookup.where("k > 0"), ["k"], "left", hot_key_share=0.1)
     assert left.count() == 3000 and left.where("w is null").count() == probe.where("k = 0").count()
 
 
@@ -76,3 +76,27 @@ def test_presence_sparse_and_dense(spark):
     assert rows[1][1:] != rows[2][1:]
     dense = {r[0]: r[1] for r in dense_presence_text(pres, 3).collect()}
     assert dense[1].split() == ["1", "1", "0"] and dense[2].split() == ["0", "0", "1"]
+
+
+def test_failing_checks_survive_pruning(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from tweetlake.operators.joins import strict_lookup
+    from tweetlake.sources.json import extract_fields
+    probe = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    lookup = spark.createDataFrame([("a", None)], "k string, w int")
+    assert strict_lookup(probe.where("id = 1"), lookup, ["k"]).collect()[0]["w"] is None
+    lines = spark.createDataFrame([('{"id": 1}',), ("{bad",)], "value string")
+    for df in (strict_lookup(probe, lookup, ["k"]), extract_fields(lines, "value", ["id"])):
+        for forced in (lambda d: d.count(), lambda d: d.select(F.lit(1)).collect()):
+            with pytest.raises(PySparkException):
+                forced(df)
+
+
+def test_lines_and_untrimmed_numbers(spark):
+    from tweetlake.functions.text import parse_numbers, split_lines
+    df = spark.createDataFrame([("a\nb\n",), ("",), ("a\r\n\nb",), ("\n",)], "t string")
+    assert [r[0] for r in df.select(split_lines("t")).collect()] == [["a", "b"], [], ["a", "", "b"], [""]]
+    one = spark.createDataFrame([("1 2 ",)], "t string")
+    assert one.select(parse_numbers("t", trim=False)).first()[0] == [1.0, 2.0]

@@ -18,8 +18,11 @@ def _c(col) -> Column:
 
 
 def split_lines(col) -> Column:
-    """Array of the text's lines (textFile semantics, one element per line)."""
-    return F.split(_c(col), LINE_BREAK)
+    """Array of the text's lines (textFile semantics): a final line break ends the last line and
+    begins none; the empty text has no lines."""
+    c = _c(col)
+    lines = F.split(F.regexp_replace(c, r"(\r\n|\r|\n)\z", ""), LINE_BREAK)
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(lines)
 
 
 def split_on_space(col) -> Column:
@@ -62,9 +65,10 @@ def strip_brackets(col) -> Column:
 
 
 def parse_numbers(col, trim: bool = True) -> Column:
-    """Numeric text split on one space -> ``array<double>`` (S6, P12). ANSI casts fail on bad text."""
-    c = F.trim(_c(col)) if trim else _c(col)
-    return F.transform(F.split(c, " "), lambda x: x.cast("double"))
+    """Numeric text split on one space -> ``array<double>`` (S6, P12); without ``trim`` trailing
+    empty pieces are dropped (D1).  ANSI casts fail on bad text."""
+    pieces = F.split(F.trim(_c(col)), " ") if trim else split_on_space(col)
+    return F.transform(pieces, lambda x: x.cast("double"))
 
 
 def word_runs(col) -> Column:

@@ -1,8 +1,8 @@
 """Lookups against a table that is small today but may not stay small.
 
-``lookup_join`` counts the lookup side first.  Up to ``max_broadcast_rows`` it is broadcast.
-Above that the join is shuffled on the key; a probe key that holds a third of all rows is then
-split across tasks by AQE's skew-join handling.  With ``hot_key_share`` set, hot keys are
+``lookup_join`` is a plain equi-join: Spark broadcasts the lookup side only below its byte
+threshold, else both sides shuffle on the key and AQE's skew-join handling splits a probe key
+that holds a great share of the rows.  With ``hot_key_share`` set, hot keys are
 also salted explicitly: keys holding at least that share of the probe rows (so at most
 ``1 / hot_key_share`` of them -- a proven bound, safe to broadcast) spread their probe rows over
 ``salt_buckets`` tasks, and only their lookup rows are replicated.
@@ -10,23 +10,17 @@ also salted explicitly: keys holding at least that share of the probe rows (so a
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 250_000  # ~10 MB of short keys, Spark's default broadcast size
 DEFAULT_SALT_BUCKETS = 64
 
 
 def lookup_join(probe: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 hot_key_share: float | None = None, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Equi-join ``probe`` to ``lookup`` (unique on ``on``) with a size-checked strategy."""
+    """Equi-join ``probe`` to ``lookup`` (unique on ``on``); nothing is cached or counted first."""
     if how not in ("inner", "left"):
         raise ValueError("lookup_join supports inner and left joins")
-    lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
-    if lookup.count() <= max_broadcast_rows:
-        return probe.join(F.broadcast(lookup), on, how)
     if hot_key_share is None:
         return probe.join(lookup, on, how)
     if not 0.0 < hot_key_share <= 1.0:
@@ -55,20 +49,21 @@ def last_row_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFram
             .select(*keys, "_last.*"))
 
 
-def strict_lookup(probe: DataFrame, lookup: DataFrame, on: list[str], check_col: str,
+def strict_lookup(probe: DataFrame, lookup: DataFrame, on: list[str], check_col: str | None = None,
                   on_missing: str = "fail", **kw) -> DataFrame:
     """One output row per probe row.  ``on_missing='fail'`` raises when a key has no
     lookup row (the reference's behaviour); ``'drop'`` keeps only matched rows; ``'null'``
     keeps unmatched rows with NULL lookup columns.
 
-    ``check_col`` must be a lookup column that is never NULL, and it must stay in the final
-    output: the check is part of that column's expression, so dropping the column later
-    would let Catalyst prune the check away."""
+    The check is a filter on a match flag of the lookup side, so it holds whatever columns are
+    read later, and a NULL in a lookup column is a value like any other."""
+    if on_missing not in ("fail", "drop", "null"):
+        raise ValueError("on_missing must be 'fail', 'drop' or 'null'")
     if on_missing == "drop":
         return lookup_join(probe, lookup, on, "inner", **kw)
-    joined = lookup_join(probe, lookup, on, "left", **kw)
-    if on_missing == "null":
-        return joined
-    return joined.withColumn(check_col, F.when(F.col(check_col).isNull(),
-                                               F.raise_error(F.lit("lookup key missing")).cast(lookup.schema[check_col].dataType))
-                             .otherwise(F.col(check_col)))
+    joined = lookup_join(probe, lookup.withColumn("_found", F.lit(True)), on, "left", **kw)
+    if on_missing == "fail":
+        key = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in on])
+        missing = F.raise_error(F.concat(F.lit("lookup key missing: "), key)).cast("boolean")
+        joined = joined.where(F.when(F.col("_found").isNull(), missing).otherwise(F.lit(True)))
+    return joined.drop("_found")

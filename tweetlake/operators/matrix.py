@@ -35,19 +35,32 @@ def presence_long(pairs: DataFrame, dictionary_index: DataFrame, doc_col: str =
     return hit.select(doc_col, index_col, F.lit(1.0).alias("value"))
 
 
-def sparse_rows(presence: DataFrame, size: int, doc_col: str = "doc_id", index_col: str = "term_id") -> DataFrame:
-    """Per document, sorted distinct term indices (D17) and the sparse text ``(n,[i],[1.0])``."""
+def _every_document(rows: DataFrame, docs: DataFrame | None, doc_col: str, column: str) -> DataFrame:
+    """``rows`` plus, given ``docs``, an empty array for every document without a row."""
+    if docs is None:
+        return rows
+    return (docs.select(doc_col).distinct().join(rows, doc_col, "left")
+            .withColumn(column, F.coalesce(column, F.array().cast(rows.schema[column].dataType))))
+
+
+def sparse_rows(presence: DataFrame, size: int, doc_col: str = "doc_id", index_col: str = "term_id",
+                docs: DataFrame | None = None) -> DataFrame:
+    """Per document, sorted distinct term indices (D17) and the sparse text ``(n,[i],[1.0])``;
+    with ``docs``, also ``(n,[],[])`` for the documents without a dictionary term."""
     rows = presence.groupBy(doc_col).agg(F.sort_array(F.collect_set(index_col)).alias("indices"))
+    rows = _every_document(rows, docs, doc_col, "indices")
     return rows.select(doc_col, F.lit(size).alias("size"), "indices",
                        sparse_text(F.lit(size), "indices").alias("vector_text"))
 
 
 def dense_presence_text(presence: DataFrame, size: int, doc_col: str = "doc_id",
-                        index_col: str = "term_id") -> DataFrame:
-    """J3 text form: ``" 0 1 0 ..."`` -- one entry per dictionary term, in term order.
+                        index_col: str = "term_id", docs: DataFrame | None = None) -> DataFrame:
+    """J3 text form: ``" 0 1 0 ..."`` -- one entry per dictionary term, in term order; with
+    ``docs`` there is a row for every document.
     The row length is the vocabulary size by definition, so use it for small vocabularies;
     ``presence_long``/``sparse_rows`` are the forms that scale."""
     rows = presence.groupBy(doc_col).agg(F.collect_set(index_col).alias("_idx"))
+    rows = _every_document(rows, docs, doc_col, "_idx")
     cells = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
                         lambda i: F.when(F.array_contains(F.col("_idx"), i), F.lit(" 1")).otherwise(F.lit(" 0")))
     return rows.select(doc_col, F.array_join(cells, "").alias("row"))

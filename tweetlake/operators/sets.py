@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 
 
 def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows present in both inputs, once each (nulls match)."""
-    return a.intersect(b)
+    """Rows present in both inputs, once each (nulls match).  Repeats go in a partial
+    aggregate before the shuffle."""
+    return a.distinct().intersect(b.distinct())
 
 
 def bag_union(*dfs: DataFrame) -> DataFrame:

@@ -1,36 +1,32 @@
 """Topic models.
 
-The vocabulary is the ``vocab_size`` terms with the highest document frequency (ties by token),
-a model parameter that bounds the k x V matrix and the vector size; documents become sparse
-count vectors through a ``CountVectorizerModel`` built from that vocabulary, and
-``pyspark.ml.clustering.LDA`` with the EM optimiser fits the model (it checkpoints its graph
-into the shared checkpoint folder every ``checkpoint_interval`` iterations).
+The model is fitted on the whole dictionary: documents become sparse 0/1 vectors from their J2
+rows (written and read as libsvm, so no vocabulary passes through the driver), and
+``pyspark.ml.clustering.LDA`` with the EM optimiser fits them (it checkpoints its graph into
+the shared folder every ``checkpoint_interval`` iterations).  Topics and documents are read as
+tables from the saved model's graph: a term's or document's fitted weights are one row each.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tweetlake.session import ensure_checkpoint_dir
+from tweetlake.session import ensure_checkpoint_dir, scratch_path
 
 
-def top_vocabulary(doc_tokens: DataFrame, tokens_col: str = "tokens", vocab_size: int = 200) -> list[str]:
-    """Terms ordered by document frequency desc, token asc; the first ``vocab_size``.
-    Only the selected terms (at most ``vocab_size``) reach the driver."""
-    df_counts = (doc_tokens.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    rows = df_counts.orderBy(F.desc("df"), F.asc("term")).limit(vocab_size).collect()
-    return [r.term for r in rows]
+def row_vectors(rows: DataFrame, size: int, doc_number: str = "doc_number", index_col: str = "indices") -> DataFrame:
+    """J2 rows ``(doc_number, indices)`` as ``(label = doc_number, features, graph_id)``.
 
-
-def count_vectors(doc_tokens: DataFrame, vocab: list[str], tokens_col: str = "tokens",
-                  out: str = "features", binary: bool = False) -> DataFrame:
-    """Sparse term-count (or 0/1 when ``binary``) vectors over ``vocab`` (J2 with counts)."""
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol=tokens_col, outputCol=out, binary=binary)
-    return cv.transform(doc_tokens)
+    ``graph_id`` is the number that the EM graph gives the document: its place in the files."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, "row-vectors")
+    cells = F.transform(index_col, lambda i: F.concat((i + 1).cast("string"), F.lit(":1.0")))
+    rows.select(F.concat_ws(" ", F.col(doc_number).cast("string"), F.array_join(cells, " ")).alias("value")).write.text(path)
+    vectors = spark.read.format("libsvm").option("numFeatures", str(max(1, size))).load(path)
+    return vectors.withColumn("graph_id", F.monotonically_increasing_id())
 
 
 def fit_lda(vectors: DataFrame, k: int = 3, max_iter: int = 20, seed: int = 11,
@@ -42,19 +38,32 @@ def fit_lda(vectors: DataFrame, k: int = 3, max_iter: int = 20, seed: int = 11,
     return lda.fit(vectors)
 
 
-def topic_terms(model: LDAModel, vocab: list[str], spark) -> DataFrame:
-    """M7/M9 + D16: long table ``(term_id, term, topic, weight)`` from the V x k topics matrix
-    (raw expected counts for EM), plus the weight normalised within the topic."""
-    m = model.topicsMatrix().toArray()
-    rows = [(i, vocab[i], t, float(m[i, t])) for i in range(m.shape[0]) for t in range(m.shape[1])]
-    df = spark.createDataFrame(rows, "term_id int, term string, topic int, weight double")
-    per_topic = Window.partitionBy("topic")
-    return df.withColumn("weight_normalised", F.col("weight") / F.sum("weight").over(per_topic))
+def fitted_weights(model: LDAModel) -> DataFrame:
+    """``(id, weights)`` of the fitted EM graph: terms have negative, documents other ids."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "lda-model")
+    model.write().save(path)
+    counts = spark.read.parquet(f"{path}/oldModel/data/topicCounts")
+    return counts.select("id", vector_to_array("topicWeights").alias("weights"))
+
+
+def topic_terms(weights: DataFrame, dictionary: DataFrame | None = None, token_col: str = "token",
+                index_col: str = "term_id") -> DataFrame:
+    """M7 + D16: long table ``(term_id[, term], topic, weight, weight_normalised)``; raw
+    expected counts, and the weight normalised within the topic."""
+    long = weights.where("id < 0").select((-F.col("id") - 1).alias("term_id"), F.posexplode("weights").alias("topic", "weight"))
+    totals = long.groupBy("topic").agg(F.sum("weight").alias("_total"))
+    # One row per topic.
+    long = long.join(F.broadcast(totals), "topic").withColumn("weight_normalised", F.col("weight") / F.col("_total")).drop("_total")
+    if dictionary is None:
+        return long
+    return long.join(dictionary.select(F.col(index_col).alias("term_id"), F.col(token_col).alias("term")), "term_id")
 
 
 def topic_rows(terms: DataFrame) -> DataFrame:
     """M7 text + U2: one row per topic, ``Topic i: w w ...`` with the weights in term order
-    (one exploded table instead of k unions; no blank seed row, D15)."""
+    (one exploded table instead of k unions; no blank seed row, D15).  A row is as long as the
+    dictionary by its format; ``topic_terms`` is the form that scales."""
     rows = (terms.groupBy("topic")
             .agg(F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("_w")))
     text = F.concat(F.lit("Topic "), F.col("topic").cast("string"), F.lit(": "),
@@ -62,6 +71,11 @@ def topic_rows(terms: DataFrame) -> DataFrame:
     return rows.select("topic", text.alias("text"))
 
 
-def topic_distributions(model: LDAModel, vectors: DataFrame, keep: list[str]) -> DataFrame:
-    """M8 (D13: inferred again by ``transform``; each non-empty document's row sums to 1)."""
-    return model.transform(vectors).select(*keep, "topicDistribution")
+def topic_distributions(weights: DataFrame, vectors: DataFrame, k: int, doc_number: str = "doc_number") -> DataFrame:
+    """M8: ``(doc_number, topicDistribution)``, the fitted weights of every document scaled to
+    sum 1; a document without terms has zeros."""
+    docs = vectors.select(F.col("label").cast("long").alias(doc_number), F.col("graph_id").alias("id"))
+    total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
+    zeros = F.array_repeat(F.lit(0.0), k)
+    return docs.join(weights.where("id >= 0"), "id", "left").select(
+        doc_number, F.coalesce(F.transform("weights", lambda x: x / total), zeros).alias("topicDistribution"))

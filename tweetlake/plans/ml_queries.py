@@ -20,7 +20,10 @@ from tweetlake.operators.cluster import (assemble, centres, centres_table, discr
 from tweetlake.operators.evaluate import accuracy, mismatches, mse, test_error
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor,
                                         hash_split, labelled_points, random_split, tree_text)
-from tweetlake.operators.topics import count_vectors, fit_lda, top_vocabulary, topic_rows, topic_terms
+from tweetlake.operators.dictionary import dictionary_from_tokens
+from tweetlake.operators.indexing import index_tokens
+from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
+from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions, topic_rows, topic_terms
 from tweetlake.plans.registry import query
 from tweetlake.session import scratch_path
 from tweetlake.sources.sinks import load_model, pair_text, save_model
@@ -148,7 +151,6 @@ def q_kmeans_discretise_index(spark, d):
 # Topic model
 # ---------------------------------------------------------------------------------------------
 
-LDA_VOCAB = 200
 SQL_STOPS = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 SQL_NORM_TOKENS = f"""
 SELECT doc_id, tok, min(pos) AS pos FROM (
@@ -157,8 +159,6 @@ SELECT doc_id, tok, min(pos) AS pos FROM (
   FROM documents {{where}})
 WHERE regexp_full_match(tok, '[a-z][a-z]+') AND NOT list_contains({SQL_STOPS}, tok)
 GROUP BY doc_id, tok"""
-SQL_LDA_VOCAB = f"""
-SELECT tok FROM ({SQL_NORM_TOKENS.format(where='')}) GROUP BY tok ORDER BY count(*) DESC, tok LIMIT {LDA_VOCAB}"""
 
 
 def _doc_norm_tokens(spark, d):
@@ -166,52 +166,62 @@ def _doc_norm_tokens(spark, d):
 
 
 def _lda_model(spark, d):
-    docs = _doc_norm_tokens(spark, d).persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = top_vocabulary(docs, "tokens", LDA_VOCAB)
-    vecs = count_vectors(docs, vocab, "tokens", "features", binary=True)
-    model = fit_lda(vecs, k=3, max_iter=20, seed=11, optimizer="em")
-    return model, vocab, vecs
+    """The model over the whole dictionary, the dictionary, and the document vectors."""
+    docs = _doc_norm_tokens(spark, d)
+    dictionary = index_tokens(dictionary_from_tokens(docs, "tokens"), "token", "term_id")
+    size = dictionary.count()
+    rows = sparse_rows(presence_long(doc_token_pairs(docs), dictionary, pairs_distinct=True), size, docs=docs)
+    vectors = row_vectors(rows, size, "doc_id")
+    return fit_lda(vectors, k=3, max_iter=20, seed=11, optimizer="em"), dictionary, vectors
 
 
 @query("lda_term_totals", f"""
-SELECT n.tok AS term, CAST(count(*) AS DOUBLE) AS total
-FROM ({SQL_NORM_TOKENS.format(where='')}) n JOIN ({SQL_LDA_VOCAB}) v ON n.tok = v.tok GROUP BY n.tok
+SELECT tok AS term, CAST(count(*) AS DOUBLE) AS total FROM ({SQL_NORM_TOKENS.format(where='')}) GROUP BY tok
 """)
 def q_lda_term_totals(spark, d):
-    model, vocab, _ = _lda_model(spark, d)
-    terms = topic_terms(model, vocab, spark)
+    model, dictionary, _ = _lda_model(spark, d)
+    terms = topic_terms(fitted_weights(model), dictionary)
     return terms.groupBy("term").agg(F.round(F.sum("weight"), 6).alias("total"))
 
 
 @query("lda_doc_sums", f"""
-SELECT d.doc_id, CASE WHEN count(v.tok) > 0 THEN 1.0 ELSE 0.0 END AS total
-FROM documents d
-LEFT JOIN ({SQL_NORM_TOKENS.format(where='')}) n ON n.doc_id = d.doc_id
-LEFT JOIN ({SQL_LDA_VOCAB}) v ON n.tok = v.tok
-GROUP BY d.doc_id
+SELECT d.doc_id, CASE WHEN count(n.tok) > 0 THEN 1.0 ELSE 0.0 END AS total
+FROM documents d LEFT JOIN ({SQL_NORM_TOKENS.format(where='')}) n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """)
 def q_lda_doc_sums(spark, d):
-    model, _, vecs = _lda_model(spark, d)
-    dist = model.transform(vecs).select("doc_id", vector_to_array("topicDistribution").alias("p"))
-    return dist.select("doc_id", F.round(F.aggregate("p", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    model, _, vectors = _lda_model(spark, d)
+    dist = topic_distributions(fitted_weights(model), vectors, 3, "doc_id")
+    return dist.select("doc_id", F.round(F.aggregate("topicDistribution", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-# Topic weights are fitted values (EM from a seed), so the text rows have no SQL text;
-# lda_term_totals checks the same matrix through its per-term sums.
-@query("topic_rows")
+@query("lda_vocab_size", f"SELECT CAST(count(DISTINCT tok) AS BIGINT) AS vocab_size FROM ({SQL_NORM_TOKENS.format(where='')})")
+def q_lda_vocab_size(spark, d):
+    """M9: the size of the fitted model's vocabulary."""
+    model, _, vectors = _lda_model(spark, d)
+    return vectors.limit(1).select(F.lit(model.vocabSize()).cast("long").alias("vocab_size"))
+
+
+@query("topic_rows", f"""
+SELECT CAST(row_number() OVER (ORDER BY tok) - 1 AS BIGINT) AS term_id, CAST(count(*) AS DOUBLE) AS total
+FROM ({SQL_NORM_TOKENS.format(where='')}) GROUP BY tok
+""")
 def q_topic_rows(spark, d):
-    """M7 + U2: ``Topic i: w w ...`` one row per topic, weights in term order."""
-    model, vocab, _ = _lda_model(spark, d)
-    return topic_rows(topic_terms(model, vocab, spark))
+    """M7 + U2: ``Topic i: w w ...`` one row per topic, weights in term order; parsed back, a
+    term's weights sum to its document frequency."""
+    model, _, _ = _lda_model(spark, d)
+    rows = topic_rows(topic_terms(fitted_weights(model)))
+    weights = F.split(F.regexp_replace("text", "^Topic [0-9]+: ", ""), " ")
+    long = rows.select(F.posexplode(weights).alias("term_id", "weight"))
+    return long.groupBy(F.col("term_id").cast("long").alias("term_id")).agg(F.round(F.sum(F.col("weight").cast("double")), 6).alias("total"))
 
 
 @query("normalise_tokens", f"""
-WITH n AS ({SQL_NORM_TOKENS.format(where="WHERE lang = 'en'")})
+WITH n AS ({SQL_NORM_TOKENS.format(where='')})
 SELECT d.doc_id, coalesce(string_agg(n.tok, ' ' ORDER BY n.pos) || ' ', '') AS tokens
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id WHERE d.lang = 'en' GROUP BY d.doc_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """)
 def q_normalise_tokens(spark, d):
-    docs = table(spark, d, "documents").where(F.col("lang") == "en")
+    docs = table(spark, d, "documents")
     return docs.select("doc_id", join_tokens(normalise_tokens("text")).alias("tokens"))
 
 
@@ -219,7 +229,7 @@ def q_normalise_tokens(spark, d):
 # checked against the published examples in the tests.
 @query("normalise_tokens_stemmed")
 def q_normalise_tokens_stemmed(spark, d):
-    docs = table(spark, d, "documents").where(F.col("lang") == "en")
+    docs = table(spark, d, "documents")
     return docs.select("doc_id", join_tokens(normalise_and_stem("text")).alias("tokens"))
 
 

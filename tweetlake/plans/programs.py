@@ -20,15 +20,15 @@ from tweetlake.functions.text import normalise_tokens
 from tweetlake.operators.cluster import discretise
 from tweetlake.operators.dictionary import dictionary_from_tokens
 from tweetlake.operators.evaluate import mse
-from tweetlake.operators.indexing import index_tokens
+from tweetlake.operators.indexing import index_tokens, with_index
 from tweetlake.operators.joins import lookup_join, strict_lookup
 from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
 from tweetlake.operators.models import fit_tree_regressor, labelled_points
 from tweetlake.operators.sql import names_in_range, register_view
-from tweetlake.operators.topics import count_vectors, fit_lda, top_vocabulary, topic_distributions
-from tweetlake.plans.ml_queries import LDA_VOCAB, SQL_LDA_VOCAB, SQL_NORM_TOKENS
+from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions
+from tweetlake.plans.ml_queries import SQL_NORM_TOKENS
 from tweetlake.plans.registry import query
-from tweetlake.session import scratch_path
+from tweetlake.session import cut_lineage, scratch_path
 from tweetlake.sources.json import read_json_lines
 from tweetlake.sources.sinks import write_text
 from tweetlake.sources.tables import table
@@ -40,28 +40,25 @@ from tweetlake.sources.tables import table
 _TWEET = StructType([StructField("id", StringType()), StructField("text", StringType())])
 
 
-def tweet_topics(lines, vocab_size: int = LDA_VOCAB, k: int = 3, max_iter: int = 20, seed: int = 11):
+def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11):
     """``lines(value)`` of tweet JSON -> ``(doc_id, tokens, n_terms, indices, topicDistribution)``.
 
-    The dictionary is every distinct token and the sparse rows cover it whole; the topic model
-    is fitted on the ``vocab_size`` most frequent terms so that its V x k matrix (which the
-    model keeps on the driver) has a fixed bound.
+    The dictionary is every distinct token, and the topic model is fitted on the sparse rows
+    over all of it; a document's distribution is the fitted one.
     """
     valid = lines.where(has_string_field("value", "id"))
     tweets = valid.select(F.from_json("value", _TWEET).alias("t")).select(
         F.col("t.id").alias("doc_id"), normalise_tokens("t.text").alias("tokens"))
-    tweets = tweets.persist(StorageLevel.MEMORY_AND_DISK)
     dictionary = index_tokens(dictionary_from_tokens(tweets, "tokens"), "token", "term_id")
-    n_terms = dictionary.count()
-    rows = sparse_rows(presence_long(doc_token_pairs(tweets), dictionary, pairs_distinct=True), n_terms)
-    vocab = top_vocabulary(tweets, "tokens", vocab_size)
-    vectors = count_vectors(tweets, vocab, "tokens", "features", binary=True)
+    size = dictionary.count()
+    numbers = with_index(tweets.select("doc_id").distinct(), [F.col("doc_id")], "doc_number")
+    rows = sparse_rows(presence_long(doc_token_pairs(tweets), dictionary, pairs_distinct=True), size, docs=tweets)
+    rows = cut_lineage(rows.join(numbers, "doc_id").select("doc_id", "doc_number", "indices"))
+    vectors = row_vectors(rows, size)
     model = fit_lda(vectors, k=k, max_iter=max_iter, seed=seed, optimizer="em")
-    dist = topic_distributions(model, vectors, ["doc_id", "tokens"])
-    return (dist.join(rows.select("doc_id", "indices"), "doc_id", "left")
-            .select("doc_id", "tokens", F.coalesce(F.size("indices"), F.lit(0)).alias("n_terms"),
-                    F.coalesce("indices", F.array().cast("array<bigint>")).alias("indices"),
-                    "topicDistribution"))
+    dist = topic_distributions(fitted_weights(model), vectors, k)
+    return (tweets.join(rows.join(dist, "doc_number"), "doc_id")
+            .select("doc_id", "tokens", F.size("indices").alias("n_terms"), "indices", "topicDistribution"))
 
 
 def _documents_as_tweets(spark, d):
@@ -71,16 +68,15 @@ def _documents_as_tweets(spark, d):
 
 
 @query("tweet_topics", f"""
-WITH n AS ({SQL_NORM_TOKENS.format(where='')}),
-     v AS ({SQL_LDA_VOCAB})
+WITH n AS ({SQL_NORM_TOKENS.format(where='')})
 SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, count(n.tok) AS n_terms,
-       CASE WHEN count(v.tok) > 0 THEN 1.0 ELSE 0.0 END AS total
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN v ON n.tok = v.tok
+       CASE WHEN count(n.tok) > 0 THEN 1.0 ELSE 0.0 END AS total
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 GROUP BY d.doc_id
 """)
 def q_tweet_topics(spark, d):
     out = tweet_topics(_documents_as_tweets(spark, d))
-    total = F.aggregate(vector_to_array("topicDistribution"), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate("topicDistribution", F.lit(0.0), lambda a, x: a + x)
     return out.select("doc_id", "n_terms", F.round(total, 6).alias("total"))
 
 

@@ -55,11 +55,13 @@ def doc_token_arrays(spark: SparkSession, d: str) -> DataFrame:
 
 
 # SQL fragments mirroring the derivations above.
-SQL_DOC_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
+SQL_LINES = ("CASE WHEN text = '' THEN []::VARCHAR[] ELSE string_split(CASE WHEN ends_with(text, chr(10)) "
+             "THEN left(text, length(text) - 1) ELSE text END, chr(10)) END")
+SQL_DOC_LINES = f"SELECT doc_id, unnest({SQL_LINES}) AS line FROM documents"
 SQL_SPLIT = "CASE WHEN regexp_full_match({x}, ' +') THEN []::VARCHAR[] ELSE string_split(rtrim({x}, ' '), ' ') END"
 SQL_DOC_WORDS = f"SELECT doc_id, unnest({SQL_SPLIT.format(x='line')}) AS word FROM ({SQL_DOC_LINES})"
 SQL_CONV_WORDS = (f"SELECT unnest({SQL_SPLIT.format(x='line')}) AS word FROM "
-                  "(SELECT unnest(string_split(text, chr(10))) AS line FROM conversations)")
+                  f"(SELECT unnest({SQL_LINES}) AS line FROM conversations)")
 SQL_DICT_INDEX = (f"SELECT word AS token, CAST(row_number() OVER (ORDER BY word) - 1 AS BIGINT) AS term_id "
                   f"FROM (SELECT DISTINCT word FROM ({SQL_DOC_WORDS}))")
 

@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset (tests, ad-hoc local runs): a private folder is acceptable only here.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        # Unset in local mode (tests, ad-hoc runs): one machine, one private folder.
         configured = tempfile.mkdtemp(prefix="tweetlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

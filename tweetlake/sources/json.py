@@ -63,5 +63,7 @@ def extract_fields(df: DataFrame, col: str, keys: list[str], on_error: str = "fa
         return df.where(ok).select(*kept, *[v.alias(k) for k, v in values.items()])
     if on_error == "null":
         return df.select(*kept, *[v.alias(k) for k, v in values.items()])
-    bad = F.raise_error(F.concat(F.lit("bad JSON record: "), F.coalesce(line, F.lit("NULL"))))
-    return df.select(*kept, *[F.when(ok, v).otherwise(bad.cast("string")).alias(k) for k, v in values.items()])
+    # A filter is kept whatever columns are read later.
+    bad = F.raise_error(F.concat(F.lit("bad JSON record: "), F.coalesce(line, F.lit("NULL")))).cast("boolean")
+    return (df.where(F.when(ok, F.lit(True)).otherwise(bad))
+            .select(*kept, *[v.alias(k) for k, v in values.items()]))

@@ -5,18 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def table(spark: SparkSession, base_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Read ``{base_dir}/{name}.parquet``; filters and projections push into the scan.
-
-    A Parquet split cannot be smaller than a row group, so a small file written as one row group
-    is scanned by one task.  When the scan yields fewer partitions than the session's default
-    parallelism, rows are spread round-robin (deterministic, so task retries see the same rows).
-    A large table already has at least one split per core and is returned as scanned.
-    """
-    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without an RDD view (Spark Connect) scan as is
-        return df
-    return df.repartition(want) if have < want else df
+def table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
+    """Read ``{base_dir}/{name}.parquet`` as Spark scans it; filters and projections push into
+    the scan, and partitions do not depend on the number of cores."""
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
