@@ -41,7 +41,8 @@ def compress_points(data: DataFrame, features_col: str = "features", label_col:
     Impurities, likelihoods and their gradients are sums over rows, so a weighted fit on the
     distinct rows is the fit on all rows.  Grouping is a partial aggregate (a value held by a
     third of all rows is combined inside each task), and every later pass of the iterative fit
-    touches the distinct rows only.  Feature metadata (nominal arities) is carried over.
+    touches the distinct rows only.  Feature metadata (nominal arities) is carried over.  Worth
+    its shuffle only where values repeat; the merged vectors are dense.
     """
     meta = data.schema[features_col].metadata
     grouped = (data.groupBy(vector_to_array(features_col).alias("_f"), F.col(label_col))
@@ -56,21 +57,21 @@ def _fit(est, data: DataFrame, compress: bool):
 
 
 def fit_tree_classifier(data: DataFrame, max_depth: int = 5, max_bins: int = 32,
-                        impurity: str = "gini", seed: int = 11, compress: bool = True):
+                        impurity: str = "gini", seed: int = 11, compress: bool = False):
     """M10."""
     return _fit(DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity, seed=seed),
                 data, compress)
 
 
 def fit_tree_regressor(data: DataFrame, max_depth: int = 5, max_bins: int = 32, seed: int = 11,
-                       compress: bool = True):
+                       compress: bool = False):
     """M11/M12 (variance impurity; nominal features from metadata)."""
     return _fit(DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins, impurity="variance", seed=seed),
                 data, compress)
 
 
 def fit_logistic(data: DataFrame, fit_intercept: bool = False, reg_param: float = 0.0,
-                 max_iter: int = 100, tol: float = 1e-6, compress: bool = True):
+                 max_iter: int = 100, tol: float = 1e-6, compress: bool = False):
     """Multinomial logistic regression by L-BFGS (D14 defaults: no intercept, no
     regularisation); the class count comes from the labels."""
     return _fit(LogisticRegression(family="multinomial", fitIntercept=fit_intercept, regParam=reg_param,

@@ -245,7 +245,7 @@ def q_tree_regress(spark, d):
     # could need depth 6), so every leaf predicts its group mean.
     li = table(spark, d, "lineitem").withColumn("g", F.pmod("l_partkey", F.lit(6)))
     pts = labelled_points(li, "l_quantity", ["g"], keep=["l_orderkey", "l_linenumber"])
-    model = fit_tree_regressor(pts, max_depth=5, max_bins=32)
+    model = fit_tree_regressor(pts, max_depth=5, max_bins=32, compress=True)
     return model.transform(pts).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
 
 
@@ -260,7 +260,7 @@ def q_tree_classify(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.pmod("l_suppkey", F.lit(6)).alias("g"),
                                             F.pmod("l_partkey", F.lit(5)).alias("cls"))
     pts = labelled_points(li, "cls", ["g"], keep=["l_orderkey", "l_linenumber"])
-    model = fit_tree_classifier(pts, max_depth=5, max_bins=32, impurity="gini")
+    model = fit_tree_classifier(pts, max_depth=5, max_bins=32, impurity="gini", compress=True)
     return model.transform(pts).select("l_orderkey", "l_linenumber", "prediction")
 
 
@@ -276,15 +276,16 @@ def _three_nominal(spark, d):
 
 
 @query("tree_regress_categorical", f"""
-SELECT l_orderkey, l_linenumber, round(avg(l_extendedprice) OVER (PARTITION BY g1, g2, g3), 4) AS prediction
+SELECT l_orderkey, l_linenumber, avg(round(l_extendedprice * 100)) OVER (PARTITION BY g1, g2, g3) AS prediction
 FROM ({SQL_THREE})
 """)
 def q_tree_regress_categorical(spark, d):
-    data = _three_nominal(spark, d)
-    pts = labelled_points(data, "l_extendedprice", ["g1", "g2", "g3"], nominal_arity={"g1": 5, "g2": 5, "g3": 5},
+    """Prices in whole cents: their sums are exact, whatever the order of the rows."""
+    data = _three_nominal(spark, d).withColumn("cents", F.round(F.col("l_extendedprice") * 100))
+    pts = labelled_points(data, "cents", ["g1", "g2", "g3"], nominal_arity={"g1": 5, "g2": 5, "g3": 5},
                           keep=["l_orderkey", "l_linenumber"])
     model = fit_tree_regressor(pts, max_depth=30, max_bins=32)
-    return model.transform(pts).select("l_orderkey", "l_linenumber", F.round("prediction", 4).alias("prediction"))
+    return model.transform(pts).select("l_orderkey", "l_linenumber", "prediction")
 
 
 @query("tree_text")
@@ -306,7 +307,7 @@ def _one_hot_lines(spark, d):
 
 
 def _fit_saturated_logistic(spark, d):
-    return fit_logistic(_one_hot_lines(spark, d), fit_intercept=False, reg_param=0.0, max_iter=300, tol=1e-12)
+    return fit_logistic(_one_hot_lines(spark, d), fit_intercept=False, reg_param=0.0, max_iter=300, tol=1e-12, compress=True)
 
 
 SQL_GROUP_FREQ = """

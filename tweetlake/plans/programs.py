@@ -119,7 +119,7 @@ def sentiment_tree(weather, tweets, key: list[str], label: str, features: list[s
     if not fit:
         return None, pts
     pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    return fit_tree_regressor(pts, max_depth=max_depth, max_bins=max_bins, seed=seed), pts
+    return fit_tree_regressor(pts, max_depth=max_depth, max_bins=max_bins, seed=seed, compress=True), pts
 
 
 def _sentiment_fit(spark, d, fit: bool = True):
