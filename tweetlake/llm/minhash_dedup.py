@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tweetlake.llm.common import cut, ship
 from tweetlake.llm.components import components
 
-K, SALTS = 64, 16
+K, PART = 64, 256
 _MEMO: dict[bytes, bytes] = {}
 _ODD = (np.random.default_rng(11).integers(1, 2**63, 16, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _COORD = (np.random.default_rng(12).integers(1, 2**63, K, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -185,15 +185,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     full = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"), F.size("s").alias(f"n_{x}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     similar = close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
-    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    members = salted(first.select(F.col("label").alias("group"), F.col("node").alias("b"))
-                     .join(apart.select("group").distinct(), "group").join(full("b"), "b"))
-    outside = apart.select(F.col("cid").alias("a"), "group", "alone",
-                           F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int").alias("salt")).join(full("a"), "a")
-    rest = outside.join(members, ["group", "salt"]).where(similar).select("a", "b")
-    others = salted(apart.where("alone").select(F.col("cid").alias("b"), "group").join(full("b"), "b"))
-    beside_one = (outside.where("alone").join(others, ["group", "salt"]).where((F.col("a") < F.col("b")) & similar)
-                  .select("a", "b"))
+    # Large groups are cut into parts of about PART classes; what stands beside goes to each part.
+    parts = (first.groupBy(F.col("label").alias("group")).agg(F.count(F.lit(1)).alias("m"))
+             .join(apart.groupBy("group").agg(F.sum(F.col("alone").cast("int")).alias("o")), "group")
+             .select("group", (1 + F.floor(F.col("m") / PART)).alias("m"), (1 + F.floor(F.col("o") / PART)).alias("o")))
+    to_each = lambda df, of: df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1)))
+    to_one = lambda df, of, key: df.withColumn("part", F.pmod(F.xxhash64(key), F.col(of)))
+    members = to_one(first.select(F.col("label").alias("group"), F.col("node").alias("b")).join(parts, "group"), "m", "b")
+    outside = apart.withColumnRenamed("cid", "a").join(parts, "group").join(full("a"), "a")
+    rest = (to_each(outside, "m").join(members.select("group", "part", "b").join(full("b"), "b"), ["group", "part"])
+            .where(similar).select("a", "b"))
+    others = to_one(apart.where("alone").withColumnRenamed("cid", "b").join(parts, "group"), "o", "b")
+    beside_one = (to_each(outside.where("alone"), "o").join(others.select("group", "part", "b").join(full("b"), "b"), ["group", "part"])
+                  .where((F.col("a") < F.col("b")) & similar).select("a", "b"))
     groups = apart.groupBy("cid").agg(F.collect_list("group").alias("g"))
     single = (posted.where("alone").join(named("cid", "l"), "cid", "left").where("l IS NULL")
               .groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p"))
