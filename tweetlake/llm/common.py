@@ -47,6 +47,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_REMEMBERED: dict[str, tuple] = {}
+
+
+def remember(owner: str, *memos: dict) -> None:
+    """Let one operator at a time keep its memories in a Python worker: another's are emptied."""
+    if owner not in _REMEMBERED:
+        for held in _REMEMBERED.values():
+            for memo in held:
+                memo.clear()
+        _REMEMBERED.clear()
+        _REMEMBERED[owner] = memos
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers once per application."""
     # Long texts: a batch is bounded by its rows, so that a worker holds few of them at a time.

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tweetlake.llm.common import cut, ship
+from tweetlake.llm.common import cut, remember, ship
 from tweetlake.llm.components import components
 
 K, PART = 64, 256
@@ -59,6 +59,7 @@ def _hash_of(word: bytes) -> bytes:
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles; A-Z are lower-cased."""
+    remember("shingles", _MEMO)
     get = _MEMO.get
     words = np.frombuffer(b"".join([get(w) or _hash_of(w) for w in (text or "").encode().lower().split()]), dtype=_U)
     n = len(words)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tweetlake.llm.common import cut, ship
+from tweetlake.llm.common import cut, remember, ship
 
 CAPACITY, CLOSING_ID = 4096, 1
 #: What is remembered: the present and the former generation; what is met again moves up.
@@ -112,6 +112,7 @@ def _learn(chunks: list[bytes], path: str) -> None:
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids and the closing id as little-endian unsigned 32-bit numbers."""
+    remember("tokens", _CHUNKS, _CHUNKS_BEFORE, _WORDS, _WORDS_BEFORE)
     _tokenizer(path)
     for now, before in ((_CHUNKS, _CHUNKS_BEFORE), (_WORDS, _WORDS_BEFORE)):
         if len(now) > GENERATION:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tweetlake.llm.common import fold, held_out, sample_rows, ship
+from tweetlake.llm.common import fold, held_out, remember, sample_rows, ship
 
 ROWS, DIM, CHUNKS = 1 << 14, 32, 16
 WIDTH = 2 * DIM + 4
@@ -45,6 +45,7 @@ def _rows_of(chunk: bytes) -> bytes:
 
 def token_rows(text: str) -> np.ndarray:
     """The hash rows of a text's tokens in order."""
+    remember("rows", _MEMO)
     get = _MEMO.get
     return np.frombuffer(b"".join([get(c) or _rows_of(c) for c in text.encode().split()]), dtype=np.uint16)
 
