@@ -58,6 +58,21 @@ def remember(owner: str, *memos: dict) -> None:
                 memo.clear()
         _REMEMBERED.clear()
         _REMEMBERED[owner] = memos
+        _release()
+
+
+def _release() -> None:
+    """Give memory that this process no longer uses back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def ship(spark: SparkSession) -> None:

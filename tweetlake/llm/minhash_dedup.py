@@ -51,7 +51,7 @@ def _mixed(x: np.ndarray, by: int) -> np.ndarray:
 
 
 def _hash_of(word: bytes) -> bytes:
-    if len(_MEMO) > 500_000:
+    if len(_MEMO) > 250_000:
         _MEMO.clear()
     got = _MEMO[word] = hashlib.blake2b(word, digest_size=8).digest()
     return got

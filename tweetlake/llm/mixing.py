@@ -154,14 +154,15 @@ def members_of(docs: DataFrame, model: Posterior) -> DataFrame:
     return docs.select("doc_id", d(F.col("text")).alias("_m")).select("doc_id", "_m.tokens", "_m.p")
 
 
-def _posterior_column(docs: DataFrame, model: Posterior):
+def _posterior_column(docs: DataFrame, model: Posterior, steps: list[np.ndarray] = (), share: np.ndarray | None = None):
+    """text -> tokens, posterior and, after the steps, the rate: one pass in one Python worker."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("tokens long, p array<double>")
+    @F.pandas_udf("tokens long, p array<double>, rate double")
     def posterior(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in parts:
             p, n = shared.value.of([t or "" for t in s.tolist()])
-            yield pd.DataFrame({"tokens": n, "p": list(p)})
+            yield pd.DataFrame({"tokens": n, "p": list(p), "rate": rate_of(p, steps, share) if len(steps) else np.ones(len(p))})
 
     return posterior
 
@@ -193,8 +194,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TAR
     """The rows of ``docs`` as often as their rates say, with all their columns."""
     model = fit_posterior(docs, labelled, sorted(targets))
     steps, share = fit_rates(cut(members_of(docs, model)), targets)
-    m = _posterior_column(docs, model)
+    m = _posterior_column(docs, model, steps, share)
     df = docs.select(F.struct("*").alias("_doc"), m(F.col("text")).alias("_m"))
-    df = df.withColumn("_rate", _rate_column(steps, share)(F.col("_m.p")))
-    df = df.withColumn("_copies", _copies(F.col("_rate"), F.col("_doc.doc_id"))).where("_copies > 0")
+    df = df.withColumn("_copies", _copies(F.col("_m.rate"), F.col("_doc.doc_id"))).where("_copies > 0")
     return df.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_doc.*")

@@ -36,7 +36,7 @@ _MEMO: dict[bytes, bytes] = {}
 
 def _rows_of(chunk: bytes) -> bytes:
     """The hash rows of a chunk without white space, as unsigned 16-bit numbers."""
-    if len(_MEMO) > 500_000:
+    if len(_MEMO) > 250_000:
         _MEMO.clear()
     got = _MEMO[chunk] = np.array([zlib.crc32(w.encode()) % ROWS for w in _TOKEN.findall(chunk.decode())],
                                   dtype=np.uint16).tobytes()
