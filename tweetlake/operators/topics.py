@@ -23,7 +23,7 @@ def row_vectors(rows: DataFrame, size: int, doc_number: str = "doc_number", inde
     ``graph_id`` is the number that the EM graph gives the document: its place in the files."""
     spark = rows.sparkSession
     path = scratch_path(spark, "row-vectors")
-    cells = F.transform(index_col, lambda i: F.concat((i + 1).cast("string"), F.lit(":1.0")))
+    cells = F.transform(F.sort_array(index_col), lambda i: F.concat((i + 1).cast("string"), F.lit(":1.0")))
     rows.select(F.concat_ws(" ", F.col(doc_number).cast("string"), F.array_join(cells, " ")).alias("value")).write.text(path)
     vectors = spark.read.format("libsvm").option("numFeatures", str(max(1, size))).load(path)
     return vectors.withColumn("graph_id", F.monotonically_increasing_id())
