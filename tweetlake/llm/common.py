@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -42,8 +43,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives lost executors."""
+    """Reliable checkpoint in the shared folder; survives lost executors.
+
+    Shuffle files and checkpoints of earlier steps that nothing refers to any more go at the driver's
+    next garbage collection, which a large heap may put off for long; it is asked for here.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.checkpoint(eager=True)
 
 
@@ -64,7 +71,6 @@ def remember(owner: str, *memos: dict) -> None:
 def _release() -> None:
     """Give memory that this process no longer uses back to the system."""
     import ctypes
-    import gc
 
     import pyarrow as pa
     gc.collect()
