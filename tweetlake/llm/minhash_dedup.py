@@ -186,19 +186,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     full = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"), F.size("s").alias(f"n_{x}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     similar = close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
-    # Large groups are cut into parts of about PART classes; what stands beside goes to each part.
-    parts = (first.groupBy(F.col("label").alias("group")).agg(F.count(F.lit(1)).alias("m"))
-             .join(apart.groupBy("group").agg(F.sum(F.col("alone").cast("int")).alias("o")), "group")
-             .select("group", (1 + F.floor(F.col("m") / PART)).alias("m"), (1 + F.floor(F.col("o") / PART)).alias("o")))
-    to_each = lambda df, of: df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1)))
-    to_one = lambda df, of, key: df.withColumn("part", F.pmod(F.xxhash64(key), F.col(of)))
-    members = to_one(first.select(F.col("label").alias("group"), F.col("node").alias("b")).join(parts, "group"), "m", "b")
-    outside = apart.withColumnRenamed("cid", "a").join(parts, "group").join(full("a"), "a")
-    rest = (to_each(outside, "m").join(members.select("group", "part", "b").join(full("b"), "b"), ["group", "part"])
-            .where(similar).select("a", "b"))
-    others = to_one(apart.where("alone").withColumnRenamed("cid", "b").join(parts, "group"), "o", "b")
-    beside_one = (to_each(outside.where("alone"), "o").join(others.select("group", "part", "b").join(full("b"), "b"), ["group", "part"])
-                  .where((F.col("a") < F.col("b")) & similar).select("a", "b"))
+    # What is compared with a group, or beside it, is laid out in cells of about PART by PART classes; the
+    # pairs are told apart within their cell, so no cell is shipped again and none is larger than that.
+    parts = (first.groupBy(F.col("label").alias("group")).agg(F.count(F.lit(1)).alias("members"))
+             .join(apart.groupBy("group").agg(F.count(F.lit(1)).alias("beside"), F.sum(F.col("alone").cast("long")).alias("alone")), "group")
+             .select("group", *[(1 + F.floor(F.col(c) / PART)).alias(f"p_{c}") for c in ("members", "beside", "alone")]))
+    cell = ["group", "row", "col"]
+
+    def laid(side: DataFrame, x: str, own: str, at: str, other: str, along: str) -> DataFrame:
+        return (side.join(parts, "group").join(full(x), x).withColumn(at, F.pmod(F.xxhash64(x), F.col(own)))
+                .withColumn(along, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+                .select(*cell, x, f"s_{x}", f"n_{x}"))
+
+    def compared(left: DataFrame, rows: str, right: DataFrame, cols: str) -> DataFrame:
+        return laid(left, "a", rows, "row", cols, "col").join(laid(right, "b", cols, "col", rows, "row"), cell)
+
+    members = first.select(F.col("label").alias("group"), F.col("node").alias("b"))
+    outside = apart.withColumnRenamed("cid", "a")
+    singles = outside.where("alone").select("group", "a")
+    rest = (compared(outside.select("group", "a"), "p_beside", members, "p_members").where(similar)
+            .select(*cell, "a", "b").distinct().select("a", "b"))
+    beside_one = (compared(singles, "p_alone", singles.withColumnRenamed("a", "b"), "p_alone")
+                  .where((F.col("a") < F.col("b")) & similar).select(*cell, "a", "b").distinct().select("a", "b"))
     groups = apart.groupBy("cid").agg(F.collect_list("group").alias("g"))
     single = (posted.where("alone").join(named("cid", "l"), "cid", "left").where("l IS NULL")
               .groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p"))
