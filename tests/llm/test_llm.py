@@ -165,6 +165,21 @@ def test_minhash_chain_of_edits(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def test_minhash_of_edits_without_originals(spark):
+    """Copies near the threshold, their original removed: a class of the second step is all that joins another."""
+    rng = np.random.default_rng(187)
+    rows, sets = [], {}
+    for i in range(60):
+        w = [f"c0w{k}" for k in range(200)]
+        for k in rng.integers(0, 200, int(rng.integers(3, 5))):
+            w[k] = f"e{rng.integers(10**6)}"
+        rows.append((i, " ".join(w)))
+        sets[i] = {tuple(w[j:j + 5]) for j in range(196)}
+    want = _components_of(sets, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_minhash_on_odd_rows(docs, none):
     got = minhash_dedup.near_duplicates(docs, 4, 80).collect()
     assert len(got) == len(DOCS) and minhash_dedup.near_duplicates(none).count() == 0

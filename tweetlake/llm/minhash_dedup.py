@@ -172,23 +172,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.max_by("cid", F.struct("common", (-F.col("cid")).alias("low"))).alias("centre"))
     of = posted.where(~F.col("alone")).select("item", F.col("label").alias("group")).distinct()
     # A class beside a group that it shares a posting with: once, and of two groups from one side.
-    beside = cut(posted.join(of, "item").where((F.col("label") < F.col("group")) | (F.col("alone") & (F.col("label") != F.col("group"))))
-                 .select("cid", "group").distinct())
+    met = (F.col("label") < F.col("group")) | (F.col("alone") & (F.col("label") != F.col("group")))
+    beside = posted.join(of, "item").where(met).select("cid", "group").distinct()
     second = cut(_confirmed(beside.join(centre.withColumnRenamed("label", "group"), "group")
                             .select(F.col("cid").alias("a"), F.col("centre").alias("b")), sets, percent))
     linked = first.select(F.col("node").alias("a"), F.col("label").alias("b"))
     now = cut(components(linked.union(second)))
-    # The rest: classes beside a group, or beside another single class, that are still apart.
-    named = lambda key, name: now.select(F.col("node").alias(key), F.col("label").alias(name))
-    apart = cut(beside.join(named("cid", "l1"), "cid", "left").join(named("group", "l2"), "group", "left")
-                .where(F.coalesce("l1", "cid") != F.coalesce("l2", "group"))
-                .select("cid", "group", F.col("l1").isNull().alias("alone")))
+    # The rest: classes beside a group, or beside another single class, that are still apart.  The groups
+    # are those of both steps, so a class that the second step joined counts as a member of its group.
+    posted = (posted.select("cid", "item").join(now.withColumnRenamed("node", "cid"), "cid", "left")
+              .withColumn("alone", F.col("label").isNull()).withColumn("label", F.coalesce("label", "cid")))
+    mixed = posted.groupBy("item").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("item")
+    posted = cut(posted.join(mixed, "item"))
+    of = posted.where(~F.col("alone")).select("item", F.col("label").alias("group")).distinct()
+    apart = cut(posted.join(of, "item").where(met).select("cid", "group", "alone").distinct())
     full = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"), F.size("s").alias(f"n_{x}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     similar = close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
     # What is compared with a group, or beside it, is laid out in cells of about PART by PART classes; the
     # pairs are told apart within their cell, so no cell is shipped again and none is larger than that.
-    parts = (first.groupBy(F.col("label").alias("group")).agg(F.count(F.lit(1)).alias("members"))
+    parts = (now.groupBy(F.col("label").alias("group")).agg(F.count(F.lit(1)).alias("members"))
              .join(apart.groupBy("group").agg(F.count(F.lit(1)).alias("beside"), F.sum(F.col("alone").cast("long")).alias("alone")), "group")
              .select("group", *[(1 + F.floor(F.col(c) / PART)).alias(f"p_{c}") for c in ("members", "beside", "alone")]))
     cell = ["group", "row", "col"]
@@ -201,7 +204,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     def compared(left: DataFrame, rows: str, right: DataFrame, cols: str) -> DataFrame:
         return laid(left, "a", rows, "row", cols, "col").join(laid(right, "b", cols, "col", rows, "row"), cell)
 
-    members = first.select(F.col("label").alias("group"), F.col("node").alias("b"))
+    members = now.select(F.col("label").alias("group"), F.col("node").alias("b"))
     outside = apart.withColumnRenamed("cid", "a")
     singles = outside.where("alone").select("group", "a")
     rest = (compared(outside.select("group", "a"), "p_beside", members, "p_members").where(similar)
@@ -209,8 +212,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     beside_one = (compared(singles, "p_alone", singles.withColumnRenamed("a", "b"), "p_alone")
                   .where((F.col("a") < F.col("b")) & similar).select(*cell, "a", "b").distinct().select("a", "b"))
     groups = apart.groupBy("cid").agg(F.collect_list("group").alias("g"))
-    single = (posted.where("alone").join(named("cid", "l"), "cid", "left").where("l IS NULL")
-              .groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p"))
+    single = (posted.where("alone").groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p"))
               .join(groups, "cid", "left").join(classes.select("cid", "n", "items"), "cid")
               .select("cid", "p", F.coalesce("g", F.array().cast("array<bigint>")).alias("g"), "n", "items",
                       F.explode("p").alias("item")))
