@@ -117,6 +117,29 @@ def test_classifiers_on_odd_rows(docs, none, labels):
     assert quality_net.keep(docs, quality_net.fit(docs, labels)).columns == docs.columns
 
 
+def test_a_long_text_does_not_end_the_sample(spark):
+    """One labelled text beyond the budget, wherever the sampling order puts it."""
+    rows = [(i, "huge " * 2000 if i in (4, 5) else f"some {'idiot' if i % 2 else 'kind'} words {i}") for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = d.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = {r["doc_id"] for r in toxic_crf.labelled_sample(d, lab, "toxic", 6000, 8000).collect()}
+    assert got == {i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2 and i not in (4, 5)}
+    model = toxic_crf.fit(d, lab, max_chars=8000)
+    assert isinstance(model, toxic_crf.ToxicCrf) and toxic_crf.score(d, model).count() == 60
+
+
+def test_admitted_rows():
+    admitted = toxic_crf.admitted
+    sizes, labels = np.array([9000, 3, 2, 500, 200, 4]), np.array([1, 0, 1, 0, 1, 0])
+    assert admitted(sizes, labels, 1000).tolist() == [False, True, True, True, True, True]
+    assert admitted(sizes, labels, 300).tolist() == [False, True, True, False, True, True]
+    # All toxic texts long, the clean ones fill the room: each class has a half.
+    sizes, labels = np.array([10] * 200 + [400] * 3), np.array([0] * 200 + [1] * 3)
+    keep = admitted(sizes, labels, 1000)
+    assert keep[200:].sum() == 1 and keep[:200].sum() > 0 and sizes[keep].sum() <= 1000
+    assert not admitted(np.zeros(0, np.int64), np.zeros(0, np.int64), 10).any()
+
+
 def test_offending_offsets():
     m = toxic_crf.ToxicCrf({"bias": -5.0, "w=idiot": 12.0}, np.zeros((2, 2)), 0.0, np.ones(3), 0.0)
     got = m.score(["You, Idiot!", "", "fine words"])

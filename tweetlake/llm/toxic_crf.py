@@ -269,6 +269,29 @@ def train(texts: list[str], labels: np.ndarray, calibration: np.ndarray, steps:
     return model
 
 
+def admitted(sizes: np.ndarray, labels: np.ndarray, max_chars: int) -> np.ndarray:
+    """Which rows, in sampling order, enter a sample of ``max_chars`` characters.
+
+    Texts of at most a hundredth of the room come first, in order; what room all of them leave goes to the
+    longer ones, shortest first.  If a class would be missing, each class has half of the room to itself.
+    """
+    def filled(at: np.ndarray, room: int) -> np.ndarray:
+        short = at[sizes[at] <= room // 100]
+        took = short[np.cumsum(sizes[short]) <= room]
+        if len(took) == len(short):
+            long = at[sizes[at] > room // 100]
+            long = long[np.argsort(sizes[long], kind="stable")]
+            took = np.concatenate([took, long[np.cumsum(sizes[long]) <= room - sizes[took].sum()]])
+        return took
+
+    took = filled(np.arange(len(sizes)), max_chars)
+    if set(labels[took].tolist()) != set(labels.tolist()):
+        took = np.concatenate([filled(np.flatnonzero(labels == y), max_chars // 2) for y in (0, 1)])
+    keep = np.zeros(len(sizes), bool)
+    keep[took] = True
+    return keep
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_chars: int) -> DataFrame:
     """At most ``max_rows`` labelled rows of distinct texts, not held out, of ``max_chars`` in all."""
     ids = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
@@ -276,18 +299,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     ids = sample_rows(ids, max_rows, F.col("doc_id"))
     # At most max_rows ids: small by its parameter.
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-            .join(F.broadcast(ids), "doc_id"))
-    rows = rows.withColumn("_hash", F.xxhash64("_text")).groupBy("_hash").agg(
-        F.min_by(F.struct("doc_id", "_text", "_label"), "doc_id").alias("_r")).select("_r.*")
-    from pyspark.sql import Window
-    far = F.sum(F.length("_text")).over(Window.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id"))
-    return (rows.withColumn("_far", far).where(F.col("_far") <= max_chars)
+            .join(F.broadcast(ids), "doc_id").withColumn("_hash", F.xxhash64("_text")))
+    first = rows.groupBy("_hash").agg(F.min_by(F.struct("doc_id", "_label", F.length("_text").alias("_size")), "doc_id").alias("_r"))
+    found = first.select("_hash", "_r.*").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "_hash").toPandas()
+    keep = admitted(found["_size"].to_numpy(dtype=np.int64), found["_label"].to_numpy(dtype=np.int64), max_chars)
+    chosen = docs.sparkSession.createDataFrame(
+        [(int(i), int(h)) for i, h in zip(found["doc_id"][keep], found["_hash"][keep], strict=True)], "doc_id long, _hash long")
+    return (rows.join(F.broadcast(chosen), ["doc_id", "_hash"]).dropDuplicates(["doc_id", "_hash"])
             .withColumn("_fold", fold(F.col("doc_id"))).select("doc_id", "_text", "_label", "_fold"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 6000,
         max_chars: int = 8_000_000):
-    """Train on a bounded sample: at most ``max_rows`` labelled rows and ``max_chars`` characters."""
+    """Train on a bounded sample: at most ``max_rows`` labelled rows and ``max_chars`` characters.
+
+    A single labelled text of more than ``max_chars`` is scored, but can't be in the sample.
+    """
     rows = labelled_sample(docs, labels, label, max_rows, max_chars).orderBy("doc_id").toPandas()
     return train(rows["_text"].tolist(), rows["_label"].to_numpy(dtype=np.int64),
                  (rows["_fold"] == 1).to_numpy(dtype=bool))
