@@ -357,6 +357,41 @@ def test_witten_bell_by_hand():
     assert m.difference(["ab"])[0] > 0 and 0 < p < 1 and m.difference([""])[0] == 0
 
 
+def test_url_scores_are_of_exact_contexts(spark, monkeypatch):
+    """More contexts than any fixed number of hash rows: scores equal a plain Witten-Bell model."""
+    rng = np.random.default_rng(4)
+    signs = list("abcdefghijklmnopqrstuvwxyz0123456789-._~")
+    urls = [f"http://a.com/{k}/" + "".join(rng.choice(signs, 30)) for k in ("fr", "de", "xx") for _ in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    apart = {r[0] for r in pages.where(F.pmod(F.xxhash64("url"), F.lit(5)) == 0).select("page_id").collect()}
+    seen = {"/fr/": [{} for _ in range(5)], "/de/": [{} for _ in range(5)]}
+    marked = lambda u: ["^"] * 4 + list(u) + ["$"]
+    for i, u in enumerate(urls):
+        for part, model in seen.items():
+            if part in u and i not in apart:
+                m = marked(u)
+                for j in range(4, len(m)):
+                    for k in range(5):
+                        model[k].setdefault(tuple(m[j - k:j]), Counter())[m[j]] += 1
+    assert len(seen["/fr/"][4]) > 4096
+
+    def log_p(u, model):
+        m, total = marked(u), 0.0
+        for j in range(4, len(m)):
+            p = 1 / 64
+            for k in range(5):
+                c = model[k].get(tuple(m[j - k:j]))
+                if c:
+                    p = (c[m[j]] + len(c) * p) / (c.total() + len(c))
+            total += np.log(p)
+        return total / (len(m) - 4)
+
+    monkeypatch.setattr(url_filter, "BLOCK", 100, raising=False)
+    got = {r["page_id"]: r["score"] for r in url_filter.judge(pages, url_filter.fit(pages)).collect()}
+    assert len(got) == len(urls)
+    assert max(abs(got[i] - log_p(u, seen["/fr/"]) + log_p(u, seen["/de/"])) for i, u in enumerate(urls)) < 1e-9
+
+
 def test_warc_odd_pages(spark):
     rows = [(3, "http://a.org/x", "same"), (1, "http://b.org/ü\r\ny", "same"), (2, None, None), (4, "nothing", ""),
             (None, "http://a.org/x", "same"), (5, "http://a.org/x", "é" * 300_000), (1, "http://b.org/ü\r\ny", "same")]
