@@ -142,3 +142,49 @@ def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import mixing
     docs = read_table(spark, sf_dir, "documents")
     return mixing.rates(docs, docs.select("doc_id", F.col("lang").alias("domain")))
+
+
+SQL_AUDIT_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query("op11_source_divergence", rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '{SQL_AUDIT_TERM}') AS ts
+  FROM documents),
+v AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(ts)) AS term FROM d)
+  GROUP BY lang, term HAVING count(*) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(ts) AS term FROM d)
+  JOIN v USING (lang, term) GROUP BY lang, source, term),
+f AS (
+  SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n FROM g JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+k AS (SELECT lang, count(*) AS terms FROM v GROUP BY lang),
+s AS (
+  SELECT f.lang, source, term, n,
+         1 + ((n + 2)::HUGEINT * 1000000000) // (sum(n) OVER (PARTITION BY f.lang, source) + 2 * terms) AS p
+  FROM f JOIN k USING (lang)),
+l AS (
+  SELECT lang, term, 1 + ((n + 2)::HUGEINT * 1000000000) // (sum(n) OVER (PARTITION BY lang) + 2 * terms) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM f GROUP BY lang, term) JOIN k USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) FROM s x JOIN s y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+terms AS (
+  SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+  FROM s JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM terms)
+WHERE rank <= 10""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import source_audit
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
