@@ -188,3 +188,30 @@ WHERE rank <= 10""")
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import source_audit
     return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
+SQL_SEARCH_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query("op12_lexical_scan", rf"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '{SQL_SEARCH_TERM}')) AS term FROM documents),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '{SQL_SEARCH_TERM}')) AS term FROM benchmark),
+c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM c GROUP BY doc_id),
+a AS (SELECT count(*) AS documents, sum(n)::BIGINT AS length FROM n),
+w AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM c, a WHERE term IN (SELECT term FROM i) GROUP BY term, documents),
+g AS (
+  SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // length))) AS gain
+  FROM c JOIN w USING (term) JOIN n USING (doc_id), a),
+s AS (SELECT item_id, doc_id, sum(gain)::BIGINT AS score FROM i JOIN g USING (term) GROUP BY item_id, doc_id HAVING sum(gain) > 0),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10""")
+def op12_lexical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import lexical_scan
+    return lexical_scan.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
