@@ -215,3 +215,9 @@ SELECT * FROM r WHERE rank <= 10""")
 def op12_lexical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import lexical_scan
     return lexical_scan.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_learned_partitions")
+def op13_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tweetlake.llm import learned_partitions
+    return learned_partitions.neighbours(read_table(spark, sf_dir, "embeddings"))
