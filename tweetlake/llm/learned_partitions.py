@@ -254,7 +254,7 @@ def _rank_cell(best: int):
             square = (x ** 2).sum(1)
             for at in range(0, len(queries), 256):
                 some = queries.iloc[at:at + 256]
-                q = np.stack(some["vec"].tolist())
+                q = np.stack(some["sought"].tolist())
                 own = (q ** 2).sum(1)
                 far = own[:, None] + square[None, :] - 2 * q @ x.T
                 k = min(best + 1, far.shape[1])
@@ -273,8 +273,8 @@ def _rank_cell(best: int):
 def search(indexed: DataFrame, queries: DataFrame, router: Router | None, best: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's nearest found, nearest first, ties to smaller ids."""
     tag = F.xxhash64("vec")
-    asked = queries.select(F.col("vec_id").alias("query_id"), tag.alias("tag"), "vec").dropDuplicates(["query_id", "tag"])
-    asked = cut(_routed(asked, router, "vec", True))
+    asked = queries.select(F.col("vec_id").alias("query_id"), tag.alias("tag"), F.col("vec").alias("sought")).dropDuplicates(["query_id", "tag"])
+    asked = cut(_routed(asked, router, "sought", True))
     # One row per part: how many blocks its rows and its queries make.
     size = (indexed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("row_blocks"))
             .join(asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).cast("int").alias("query_blocks")), "part"))
@@ -284,7 +284,7 @@ def search(indexed: DataFrame, queries: DataFrame, router: Router | None, best:
             .select("part", "row_block", F.explode(last).alias("query_block"), "vec", "ids"))
     last = F.sequence(F.lit(0), F.col("row_blocks") - 1)
     asked = (asked.join(size, "part").withColumn("query_block", F.pmod(F.xxhash64("query_id", "tag"), "query_blocks").cast("int"))
-             .select("part", F.explode(last).alias("row_block"), "query_block", "query_id", "tag", "vec"))
+             .select("part", F.explode(last).alias("row_block"), "query_block", "query_id", "tag", "sought"))
     cell = ["part", "row_block", "query_block"]
     found = asked.groupBy(*cell).cogroup(rows.groupBy(*cell)).applyInPandas(
         _rank_cell(best), "query_id long, tag long, vec_id long, score double")
