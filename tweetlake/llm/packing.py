@@ -6,7 +6,7 @@
 2. The histogram of piece lengths (at most ``capacity`` rows) is solved on the driver: the
    linear program over ways to fill a sequence is approximated by multiplicative weights, each
    step priced by a knapsack over the weights; the fractional counts are rounded down to whole
-   sequences and what is left is packed best-fit, longest first.  All of it is run-length:
+   sequences, filled up to ``1 - loose`` by the program; what is left is packed best-fit, longest first.  All of it is run-length:
    (way to fill, how often), so its size follows the lengths and not the rows.
 3. A piece finds its place from its rank among the pieces of its length.  Ranks are counted
    per partition first, so a length that a great many pieces share is not ranked in one task.
@@ -23,7 +23,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,33 +120,40 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
             before.update(now)
             now.clear()
     split = [t.encode().split() for t in texts]
-    new = _unknown({c for chunks in split for c in chunks if c not in _CHUNKS}, _CHUNKS, _CHUNKS_BEFORE)
+    found = [list(map(_CHUNKS.get, chunks)) for chunks in split]
+    gaps = [[i for i, part in enumerate(parts) if part is None] for parts in found]
+    new = _unknown({chunks[i] for chunks, at in zip(split, gaps) for i in at}, _CHUNKS, _CHUNKS_BEFORE)
     if new:
         _learn(list(new), path)
+    for chunks, parts, at in zip(split, found, gaps):
+        for i in at:
+            parts[i] = _CHUNKS[chunks[i]]
     end = CLOSING_ID.to_bytes(4, "little")
-    get = _CHUNKS.__getitem__
-    return [b"".join(map(get, chunks)) + end for chunks in split]
+    return [b"".join(parts) + end for parts in found]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and the ids if asked for): one row per piece."""
     ship(docs.sparkSession)
 
-    def cut_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            docs_, texts = part["doc_id"].astype("Int64"), [t or "" for t in part["t"].tolist()]
-            for i in range(0, len(texts), 100):
-                for doc, raw in zip(docs_[i:i + 100], token_bytes(texts[i:i + 100], path), strict=True):
-                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        ids = raw[at:at + 4 * capacity]
-                        rows.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids)) + ((ids,) if with_ids else ()))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return docs.select("doc_id", F.col("text").alias("t")).mapInPandas(
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                some = batch.slice(at, 100)
+                rows = []
+                for doc, raw in enumerate(token_bytes([t or "" for t in some.column("t").to_pylist()], path)):
+                    for k, low in enumerate(range(0, len(raw), 4 * capacity)):
+                        ids = raw[low:low + 4 * capacity]
+                        rows.append((doc, k, low // 4, len(ids) // 4, zlib.crc32(ids)) + ((ids,) if with_ids else ()))
+                doc, *rest = zip(*rows)
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                # Ids stay in Arrow: a null beside them would turn large ones into other numbers in pandas.
+                yield pa.RecordBatch.from_arrays([some.column("doc_id").take(pa.array(doc)),
+                                                  *(pa.array(x, kind) for x, kind in zip(rest, kinds))], names)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("t")).mapInArrow(
         cut_up, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
@@ -205,7 +212,7 @@ def configuration_lp(demand: np.ndarray, step: float = 0.1, rate: float = 6.0,
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY, grain: int = 16,
-          loose: float = 0.25) -> list[tuple[tuple[int, ...], int]]:
+          loose: float = 0.02) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in a sequence, how many such sequences) that hold each length as often as given."""
     rest = {n: int(c) for n, c in histogram.items() if c > 0}
     ways: list[tuple[tuple[int, ...], int]] = []
@@ -220,8 +227,8 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, grain: int = 16,
     left = np.array([sum(c for _, c in p) for p in pools], dtype=np.int64)
     started: list[tuple[tuple[int, ...], int]] = []
     for way, times in configuration_lp(left):
-        # Classes are rounded up to the grain, which would leave gaps: the smallest pieces of a
-        # way are left out, so that best fit closes it to the token.
+        # Classes are rounded up to the grain, which leaves gaps of up to a few hundredths: of a fuller
+        # way the smallest pieces are left to best fit, which closes such gaps to the token.
         way, used = way.copy(), np.flatnonzero(way)
         while len(used) and (way * np.arange(size + 1)).sum() > (1 - loose) * size:
             way[used[0]] -= 1
@@ -317,14 +324,15 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     ranked = (df.withColumn("_rank", inside - 1).join(base, ["length", "_part"])
               .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_rank") + F.col("_base")).alias("rank")))
 
-    def placed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
-        for part in parts:
-            n, rank = part["length"].to_numpy(), part.pop("rank").to_numpy()
+        for batch in batches:
+            n, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             i = np.searchsorted(t["key"], n * _FAR + rank, side="right") - 1
             q = rank - t["first"][i]
-            yield part.assign(doc_id=part["doc_id"].astype("Int64"), sequence_id=t["sequence"][i] + q // t["copies"][i],
-                              offset=t["offset"][i] + q % t["copies"][i] * n)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(t["sequence"][i] + q // t["copies"][i]), pa.array(t["offset"][i] + q % t["copies"][i] * n)],
+                [*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    return ranked.mapInPandas(placed, "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                                      "sequence_id long, offset long")
+    return ranked.mapInArrow(placed, "doc_id long, piece int, start long, length long, ids_crc32 long, "
+                                     "sequence_id long, offset long")
