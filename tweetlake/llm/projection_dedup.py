@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,16 +96,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, block_rows: int = B
     element = vectors.schema["embedding"].dataType.elementType
     kind = np.float32 if isinstance(element, T.FloatType) else np.float64
 
-    def raw(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for i, v in zip(part["vec_id"], part["embedding"], strict=True):
-                x = None if v is None or pd.isna(i) else np.asarray(v, dtype=np.float64)
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, out = batch.column("vec_id"), []
+            for known, v in zip(ids.is_valid().to_pylist(), batch.column("embedding"), strict=True):
+                v = v.values if known else None
+                x = None if v is None or v.null_count else v.to_numpy(zero_copy_only=False).astype(np.float64)
                 fine = x is not None and len(x) and np.isfinite(x).all() and x.any()
-                out.append(np.asarray(v, dtype=kind).tobytes() if fine else None)
-            yield pd.DataFrame({"vec_id": part["vec_id"].astype("Int64"), "v": out})
+                out.append(x.astype(kind).tobytes() if fine else None)
+            # Ids stay in Arrow: a null beside them would turn large ones into other numbers in pandas.
+            yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.binary())], ["vec_id", "v"])
 
-    base = cut(vectors.select("vec_id", "embedding").mapInPandas(raw, "vec_id long, v binary"))
+    base = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(raw, "vec_id long, v binary"))
     # Ids are given after the cut: the rows and their order are fixed from there on.
     classes = cut(base.where("v IS NOT NULL").groupBy("v").agg(
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))).withColumn("cid", F.monotonically_increasing_id())
