@@ -16,7 +16,8 @@ from tweetlake.llm.common import cut
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, label) for every node of an edge; label is the smallest node of its component.
 
-    Self loops and null ends are ignored; repeated edges count once; no edges give no rows.
+    Self loops and null ends are ignored; repeated edges count once; no edges give no rows.  Labels that
+    still change in the last round are an error, never a result.
     """
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where(F.col("u") > F.col("v")).distinct())
@@ -38,5 +39,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,20 +92,23 @@ def least_matches(similarity: float) -> int:
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
-    def signed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             n, f1, f2, items = [], [], [], []
-            for t in part["t"].tolist():
-                s = shingle_set(t, width)
+            for t in batch.column("t"):  # one text at a time
+                s = shingle_set(t.as_py(), width)
                 n.append(len(s))
                 a, b = fingerprint(s) if len(s) else (0, 0)
                 f1.append(a)
                 f2.append(b)
                 items.append(signature(s) if len(s) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "n": n, "f1": f1, "f2": f2, "items": items})
+            # Ids stay in Arrow: a null beside them would turn large ones into other numbers in pandas.
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("h"), *(pa.array(x, pa.int64()) for x in (n, f1, f2)),
+                 pa.array(items, pa.list_(pa.int64()))], ["doc_id", "h", "n", "f1", "f2", "items"])
 
-    return docs.select("doc_id", F.col("text").alias("t")).mapInPandas(
-        signed, "doc_id long, n long, f1 long, f2 long, items array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.col("text").alias("t")).mapInArrow(
+        signed, "doc_id long, h long, n long, f1 long, f2 long, items array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -131,17 +135,16 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("k") >= percent * (F.col("n") - F.col("k"))).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row; see the module's text.
+_HAS = "n > 0 AND doc_id IS NOT NULL"
 
-    Sets of at least ``percent`` hundredths similarity are linked.
-    """
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, h, n, f1, f2), and per class (f1, f2, n) its group's label and smallest doc_id."""
     ship(docs.sparkSession)
     matches = least_matches(percent / 100)
     base = cut(_signed(docs, width))
-    has = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     # Ids are given after the cut: the rows and their order are fixed from there on.
-    classes = cut(base.where(has).groupBy("f1", "f2", "n").agg(
+    classes = cut(base.where(_HAS).groupBy("f1", "f2", "n").agg(
         F.min("doc_id").alias("doc_id"), F.first("items").alias("items"))).withColumn("cid", F.monotonically_increasing_id())
     posts = classes.select("cid", F.explode("items").alias("item"))
     often = posts.groupBy("item").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
@@ -228,15 +231,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = (classes.join(whole.withColumnRenamed("node", "cid"), "cid", "left")
              .select("f1", "f2", "n", "doc_id", F.coalesce("label", "cid").alias("label")))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "label").select("f1", "f2", "n", "component_id")
-    out = base.where(has).join(named, ["f1", "f2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = base.where(~has).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return base, named.join(least, "label").select("f1", "f2", "n", "label", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row; see the module's text.
+
+    Sets of at least ``percent`` hundredths similarity are linked.
+    """
+    base, named = _grouped(docs, width, percent)
+    out = base.where(_HAS).join(named, ["f1", "f2", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    alone = base.where(f"NOT ({_HAS})").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with all its columns; rows without doc_id stay."""
-    ids = (near_duplicates(docs, width, percent).where(F.col("kept") & F.col("doc_id").isNotNull())
-           .select(F.col("doc_id").alias("_id")))
-    kept = docs.join(ids.distinct(), F.col("doc_id") == F.col("_id")).select(docs.columns).dropDuplicates(["doc_id"])
+    """One document of each group, with all its columns; rows without doc_id stay.
+
+    Unlike texts under one doc_id are documents of their own, and of each group one stays; of rows
+    repeated with their doc_id and text one stays.
+    """
+    base, named = _grouped(docs, width, percent)
+    ours = (base.where(_HAS).join(named, ["f1", "f2", "n"]).where(F.col("doc_id") == F.col("component_id"))
+            .groupBy("label").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*"))
+    alone = base.where((F.col("n") == 0) & F.col("doc_id").isNotNull()).select("doc_id", "h")
+    wanted = ours.union(alone).distinct().select(F.col("doc_id").alias("_wanted_id"), F.col("h").alias("_wanted_h"))
+    kept = (docs.withColumn("_h", F.xxhash64("text"))
+            .join(wanted, (F.col("doc_id") == F.col("_wanted_id")) & (F.col("_h") == F.col("_wanted_h")))
+            .dropDuplicates(["doc_id", "_h"]).select(docs.columns))
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
