@@ -20,6 +20,7 @@ result; other columns are kept by ``mix`` and do not enter otherwise.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -102,50 +103,63 @@ def fit_posterior(docs: DataFrame, labelled: DataFrame, domains: list[str], max_
     return Posterior(logs, prior, float(grid[best]))
 
 
-def rate_of(p: np.ndarray, steps: list[np.ndarray], share: np.ndarray) -> np.ndarray:
-    """The rates after the steps' gaps, from rates of 1."""
-    r = np.ones(len(p))
+def rate_of(p: np.ndarray, steps: list[np.ndarray], share: np.ndarray, ahead: bool = False) -> np.ndarray:
+    """The rates after the steps' gaps, from rates of 1; ``ahead``: where the next gap is taken."""
+    r = before = np.ones(len(p))
+    at = r
     weight = np.where(share > 0, 1 / np.where(share > 0, share, 1), 0)
-    for gap in steps:
-        r = np.maximum(0, r - (p @ (weight * gap) + PULL * (r - 1)) / (1 + PULL))
-    return r
+    for number, gap in enumerate(steps, 1):
+        r, before = np.maximum(0, at - (p @ (weight * gap) + PULL * (at - 1)) / (1 + PULL)), r
+        # Nesterov: the gap is taken beyond the last step, in its direction.
+        at = r + (number - 1) / (number + 2) * (r - before)
+    return at if ahead else r
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float], most_steps: int = 25,
-              close: float = 1e-3) -> tuple[list[np.ndarray], np.ndarray]:
-    """The gaps of the projected gradient's steps over ``members`` (tokens, p), and the shares."""
+class Fitted(NamedTuple):
+    steps: list[np.ndarray]  # the gap of every step
+    share: np.ndarray  # of the tokens, by domain
+    unmet: float  # the largest distance of a domain's share from its target that remains
+
+
+def fit_rates(members: DataFrame, targets: Mapping[str, float], close: float = 1e-3, patience: int = 30) -> Fitted:
+    """Accelerated projected-gradient steps over ``members`` (tokens, p) until every target is met within
+    ``close`` times the largest; targets that no rates meet end the steps once ``patience`` of them have
+    brought nothing, and the remaining distance is returned."""
     domains = sorted(targets)
     k = len(domains)
     want = np.array([targets[d] for d in domains], dtype=float)
     want = want / want.sum()
 
     def totals(steps, share):
+        """Domain totals at the rates, and where the next gap is taken."""
         def summed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(k)
+            total = np.zeros(2 * k)
             for part in parts:
                 if len(part):
-                    p = np.stack(part["p"].to_numpy())
-                    total += (part["tokens"].to_numpy() * rate_of(p, steps, share)) @ p
-            yield pd.DataFrame({"k": range(k), "s": total})
+                    p, n = np.stack(part["p"].to_numpy()), part["tokens"].to_numpy()
+                    total += np.concatenate([(n * rate_of(p, steps, share, ahead)) @ p for ahead in (False, True)])
+            yield pd.DataFrame({"k": range(2 * k), "s": total})
         got = members.select("tokens", "p").mapInPandas(summed, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
-        out = np.zeros(k)
+        out = np.zeros(2 * k)
         for r in got:
             out[r["k"]] = r["s"]
-        return out
+        return out[:k], out[k:]
 
-    now = totals([], np.ones(k))
+    now, ahead = totals([], np.ones(k))
     whole = now.sum()
     if whole <= 0:
-        return [], np.zeros(k)
+        return Fitted([], np.zeros(k), 0.0)
     share = now / whole
     steps: list[np.ndarray] = []
-    for _ in range(most_steps):
-        gap = now / whole - want
-        if np.abs(gap[share > 0]).max() <= close * want.max():
-            break
-        steps.append(gap)
-        now = totals(steps, share)
-    return steps, share
+    best, found = np.inf, 0
+    while True:
+        unmet = float(np.abs((now / whole - want)[share > 0]).max())
+        if unmet < 0.99 * best:
+            best, found = unmet, len(steps)
+        if unmet <= close * want.max() or len(steps) - found >= patience:
+            return Fitted(steps, share, unmet)
+        steps.append(ahead / whole - want)
+        now, ahead = totals(steps, share)
 
 
 def members_of(docs: DataFrame, model: Posterior) -> DataFrame:
@@ -182,18 +196,18 @@ def _copies(rate: Column, doc_id: Column) -> Column:
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
-    """doc_id, tokens, p (in the order of the sorted domains), rate and copies of every row."""
+    """doc_id, tokens, p (in the order of the sorted domains), rate, copies and the unmet share of the targets."""
     model = fit_posterior(docs, labelled, sorted(targets))
     members = cut(members_of(docs, model))
-    steps, share = fit_rates(members, targets)
-    out = members.withColumn("rate", _rate_column(steps, share)(F.col("p")))
+    steps, share, unmet = fit_rates(members, targets)
+    out = members.withColumn("rate", _rate_column(steps, share)(F.col("p"))).withColumn("unmet", F.lit(unmet))
     return out.withColumn("copies", _copies(F.col("rate"), F.col("doc_id")))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
     """The rows of ``docs`` as often as their rates say, with all their columns."""
     model = fit_posterior(docs, labelled, sorted(targets))
-    steps, share = fit_rates(cut(members_of(docs, model)), targets)
+    steps, share, _ = fit_rates(cut(members_of(docs, model)), targets)
     m = _posterior_column(docs, model, steps, share)
     df = docs.select(F.struct("*").alias("_doc"), m(F.col("text")).alias("_m"))
     df = df.withColumn("_copies", _copies(F.col("_m.rate"), F.col("_doc.doc_id"))).where("_copies > 0")
