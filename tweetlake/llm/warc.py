@@ -173,7 +173,7 @@ def find(keys: DataFrame, top: DataFrame) -> DataFrame:
             if (i, j) not in blocks:
                 while len(blocks) > 3:
                     blocks.pop(next(iter(blocks)))
-                files_, local, d = directory(i)
+                files_, local, d, _ = directory(i)
                 with files_.open_input_file(local) as f:
                     raw = f.read_at(d[j][3], d[j][2])
                 blocks[i, j] = [json.loads(x) for x in gzip.decompress(raw).decode().split("\n")]
@@ -185,7 +185,8 @@ def find(keys: DataFrame, top: DataFrame) -> DataFrame:
                     directories.pop(next(iter(directories)))
                 files_, local = _files(shared.value[i][2])
                 with files_.open_input_stream(f"{local}.dir", compression=None) as f:
-                    directories[i] = files_, local, json.loads(gzip.decompress(f.read()))
+                    d = json.loads(gzip.decompress(f.read()))
+                directories[i] = files_, local, d, [(x[0], x[1]) for x in d]
             return directories[i]
 
         for part in parts:
@@ -193,7 +194,7 @@ def find(keys: DataFrame, top: DataFrame) -> DataFrame:
             for want in zip(part["key"], part["page_id"].astype(int), strict=True):
                 # Equal keys may begin in the block before the first that starts with them.
                 i = max(0, bisect.bisect_left(tops, want) - 1)
-                j = max(0, bisect.bisect_left([(d[0], d[1]) for d in directory(i)[2]], want) - 1) if tops else 0
+                j = max(0, bisect.bisect_left(directory(i)[3], want) - 1) if tops else 0
                 while i < len(tops) and tops[i] <= want or i == 0 and tops:
                     if j >= len(directory(i)[2]):
                         i, j = i + 1, 0
