@@ -214,6 +214,25 @@ def test_minhash_on_odd_rows(docs, none):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 2, 3, 4, 6, 7, None])
 
 
+def test_minhash_ids_beyond_doubles_and_texts_under_one_id(spark):
+    words = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    big = 2**53
+    rows = [(big + 1, words("a")), (big + 3, words("b")), (None, words("c")), (9, words("d")), (9, words("e")), (9, words("d")),
+            (10, words("e")), (11, ""), (11, None), (12, words("d") + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(df).collect())
+    assert got == Counter({(big + 1, big + 1, True): 1, (big + 3, big + 3, True): 1, (None, None, True): 1, (9, 9, True): 3,
+                           (10, 9, False): 1, (11, 11, True): 2, (12, 9, False): 1})
+    kept = Counter(tuple(r) for r in minhash_dedup.keep(df).collect())
+    assert kept == Counter([(big + 1, words("a")), (big + 3, words("b")), (None, words("c")), (9, words("d")), (9, words("e")), (11, ""), (11, None)])
+
+
+def test_components_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components.components(edges, max_rounds=2)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (100, 101), (None, 3)]
     got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
@@ -240,6 +259,13 @@ def test_projection_equals_brute_force(spark, table):
     assert projection_dedup.near_duplicates(table("embeddings")).count() == table("embeddings").count()
 
 
+def test_projection_ids_beyond_doubles(spark):
+    rows = [(2**53, [1.0, 0.0], 1), (2**53 + 1, [0.0, 1.0], 2), (None, [1.0, 1.0], 3), (None, [1.0, 0.0], 3), (7, [1.0, None], 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n_links int").coalesce(1)
+    got = Counter(tuple(r) for r in projection_dedup.near_duplicates(df).collect())
+    assert got == Counter({(2**53, 0, 2**53, True): 1, (2**53 + 1, 0, 2**53 + 1, True): 1, (None, 0, None, True): 2, (7, 0, 7, True): 1})
+
+
 def test_rates_meet_targets(table, docs, none):
     d = table("documents")
     got = mixing.rates(d, d.select("doc_id", F.col("lang").alias("domain"))).toPandas()
@@ -247,12 +273,41 @@ def test_rates_meet_targets(table, docs, none):
     share = (got["tokens"] * got["rate"]).to_numpy() @ p / got["tokens"].sum()
     assert np.abs(share - [mixing.TARGETS[k] for k in sorted(mixing.TARGETS)]).max() < 2e-3
     assert (got["rate"] >= 0).all() and np.allclose(p.sum(1), 1)
+    assert (got["unmet"] <= 1e-3 * max(mixing.TARGETS.values())).all()
     for x in (docs, none):
         lab = x.select("doc_id", F.col("lang").alias("domain"))
         assert mixing.rates(x, lab).count() == x.count()
         assert mixing.mix(x, lab).columns == x.columns
 
 
+def test_rates_by_brute_force(spark):
+    """The distributed steps against the same least squares solved in memory by another way."""
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([0.4, 0.3, 0.2], 300)
+    tokens = rng.integers(1, 200, 300)
+    targets = {"a": 0.2, "b": 0.5, "c": 0.3}
+    members = spark.createDataFrame([(int(n), [float(v) for v in q]) for n, q in zip(tokens, p)], "tokens long, p array<double>")
+    fitted = mixing.fit_rates(members, targets)
+    rate = mixing.rate_of(p, fitted.steps, fitted.share)
+    want = np.array([0.2, 0.5, 0.3])
+    total = lambda r: (tokens * r) @ p / tokens.sum()
+    assert np.abs(total(rate) - want).max() <= 1e-3 * 0.5 and fitted.unmet <= 1e-3 * 0.5
+    # The nearest rates to 1 that meet the targets are max(0, 1 + p @ l): Newton steps on l.
+    weight = 1 / (tokens @ p / tokens.sum())
+    l = np.zeros(3)
+    for _ in range(100):
+        r = np.maximum(0, 1 + (p * weight) @ l)
+        jac = ((p * (tokens * (r > 0))[:, None]).T @ (p * weight)) / tokens.sum()
+        l -= np.linalg.lstsq(jac, total(r) - want, rcond=None)[0]
+    assert np.abs(total(r) - want).max() < 1e-9 and np.abs(rate - r).max() < 0.05
+
+
+def test_rates_report_targets_that_cannot_be_met(spark):
+    members = spark.createDataFrame([(10, [0.5, 0.5])] * 4, "tokens long, p array<double>")
+    fitted = mixing.fit_rates(members, {"a": 0.9, "b": 0.1})
+    assert abs(fitted.unmet - 0.4) < 0.05
+
+
 def _packed(df, texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.default_tokenizer())
@@ -282,6 +337,12 @@ def test_packing(table, docs, none):
     assert seen[2] == seen[3] == seen[4] == 1 and packing.pack(none).count() == 0
 
 
+def test_packing_ids_beyond_doubles(spark):
+    rows = [(2**53 + 1, "one two"), (2**53 + 3, "three"), (None, "four five")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert {r["doc_id"] for r in got.collect()} == {2**53 + 1, 2**53 + 3, None}
+
+
 def test_tokens_of_odd_texts():
     from tokenizers import Tokenizer
     path = packing.default_tokenizer()
@@ -344,19 +405,6 @@ def test_url_rules_and_models(spark):
     assert url_filter.judge(empty, url_filter.fit(empty)).count() == 0
 
 
-def test_witten_bell_by_hand():
-    m = url_filter.CharModels(np.zeros((2, url_filter.ORDERS, url_filter.ROWS, url_filter.CLASSES)))
-    rows, chars = url_filter.cells(["ab"])
-    for k in range(url_filter.ORDERS):
-        np.add.at(m.counts[1, k], (rows[k], chars), 1)
-    m = url_filter.CharModels(m.counts)
-    p = 1 / 64
-    for k in range(url_filter.ORDERS):  # of "a", the first character
-        n, kinds = (3, 3) if k == 0 else (m.n[1, k, rows[k, 0]], m.kinds[1, k, rows[k, 0]])
-        p = (m.counts[1, k, rows[k, 0], chars[0]] + kinds * p) / (n + kinds)
-    assert m.difference(["ab"])[0] > 0 and 0 < p < 1 and m.difference([""])[0] == 0
-
-
 def test_url_scores_are_of_exact_contexts(spark, monkeypatch):
     """More contexts than any fixed number of hash rows: scores equal a plain Witten-Bell model."""
     rng = np.random.default_rng(4)

@@ -29,7 +29,7 @@ from tweetlake.llm.common import ascii_lower, cut, ship
 #: The rules, as verdict and host followed by the path's beginning.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/"))
-ORDERS, ROWS, CLASSES = 5, 1 << 12, 64
+ORDERS, CLASSES = 5, 64
 BINS, SPAN = 400, 4.0
 BLOCK = 2000  # URLs scored together
 _SIGNS = "abcdefghijklmnopqrstuvwxyz0123456789-._~:/?#[]@!$&'()*+,;=%"
@@ -86,44 +86,6 @@ def grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes[-1] * CLASSES + chars, sizes
 
 
-def cells(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(orders x characters) hashed context rows of ``CharModels``, and the characters' classes."""
-    codes, chars, _ = contexts(urls)
-    rows = np.zeros((ORDERS, len(chars)), dtype=np.int64)
-    for k in range(1, ORDERS):
-        mixed = (codes[k].astype(np.uint64) + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-        rows[k] = (mixed >> np.uint64(40)).astype(np.int64) % ROWS
-    return rows, chars
-
-
-class CharModels:
-    """A few URLs' models in memory, contexts hashed; tables are scored by ``UrlModels`` instead.
-
-    counts: (2, orders, rows, classes) of the blocked (0) and the allowed (1).
-    """
-
-    def __init__(self, counts: np.ndarray, threshold: float = 0.0):
-        self.counts = counts.astype(np.float32)
-        self.n = self.counts.sum(-1)
-        self.kinds = (self.counts > 0).sum(-1).astype(np.float32)
-        self.threshold = threshold
-
-    def difference(self, urls: list[str]) -> np.ndarray:
-        """Log-likelihood allowed less blocked, per character (the end included)."""
-        if not urls:
-            return np.zeros(0)
-        rows, chars = cells(urls)
-        logs = []
-        for c in (0, 1):
-            p = np.full(len(chars), 1 / CLASSES)
-            for k in range(ORDERS):
-                n, kinds = self.n[c, k][rows[k]], self.kinds[c, k][rows[k]]
-                p = np.where(n > 0, (self.counts[c, k][rows[k], chars] + kinds * p) / np.maximum(n + kinds, 1), p)
-            logs.append(np.log(p))
-        sizes = np.array([len(u.encode("utf-8", "replace")) + 1 for u in urls])
-        return np.where(sizes > 1, np.add.reduceat(logs[1] - logs[0], np.cumsum(sizes) - sizes) / sizes, 0.0)
-
-
 def _judged(pages: DataFrame, *more: str) -> DataFrame:
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     rule, verdict = rule_of(host, path)
