@@ -1,157 +1,132 @@
-"""Porter stemming for token arrays (the stemming step of P20).
+"""English stemming (P20): the second Porter algorithm as column expressions.
 
-The stemmer follows M. F. Porter, "An algorithm for suffix stripping", Program 14(3), 1980.
-It is a per-word helper with a bounded per-process memo (vocabularies repeat heavily), run
-inside an Arrow-batched ``pandas_udf`` over whole token arrays, so the plan gains no shuffle.
+The rules are those of the published Snowball definition of English.  A word's two regions are
+found once, as positions; every step then is a chain of "ends with this suffix, longest first",
+so nothing leaves the JVM.  Stemming costs some dozens of comparisons a word, so it is meant for
+a table of *distinct* words that is joined back (``operators.normalise``).
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
-
-_VOWELS = frozenset("aeiou")
-
-# The suffix rules of steps 2, 3 and 4 as printed in the 1980 paper.
-_STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
-          ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
-          ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
-          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble")]
-_STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
-          ("ness", "")]
-_STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
-          "ism", "ate", "iti", "ous", "ive", "ize"]
-
-
-def _is_consonant(w: str, i: int) -> bool:
-    ch = w[i]
-    if ch in _VOWELS:
-        return False
-    if ch == "y":
-        return i == 0 or not _is_consonant(w, i - 1)
-    return True
-
-
-def _measure(stem: str) -> int:
-    """m in [C](VC)^m[V]: the number of vowel-to-consonant transitions."""
-    m, prev_vowel = 0, False
-    for i in range(len(stem)):
-        cons = _is_consonant(stem, i)
-        if cons and prev_vowel:
-            m += 1
-        prev_vowel = not cons
-    return m
-
-
-def _has_vowel(stem: str) -> bool:
-    return any(not _is_consonant(stem, i) for i in range(len(stem)))
-
-
-def _double_consonant(w: str) -> bool:
-    return len(w) >= 2 and w[-1] == w[-2] and _is_consonant(w, len(w) - 1)
-
-
-def _cvc(w: str) -> bool:
-    """*o: ends consonant-vowel-consonant, the last consonant not w, x or y."""
-    return (len(w) >= 3 and _is_consonant(w, len(w) - 3) and not _is_consonant(w, len(w) - 2)
-            and _is_consonant(w, len(w) - 1) and w[-1] not in "wxy")
-
-
-def _longest_rule(w: str, rules, min_m: int) -> str:
-    """Apply the rule with the longest matching suffix if its stem has measure > min_m."""
-    best = None
-    for suffix, repl in rules:
-        if w.endswith(suffix) and (best is None or len(suffix) > len(best[0])):
-            best = (suffix, repl)
-    if best is None:
-        return w
-    stem = w[: len(w) - len(best[0])]
-    return stem + best[1] if _measure(stem) > min_m else w
-
-
-def _step1(w: str) -> str:
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
-        w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        w = w[:-1]
-    second_or_third = False
-    if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
-            w = w[:-1]
-    elif w.endswith("ed") and _has_vowel(w[:-2]):
-        w, second_or_third = w[:-2], True
-    elif w.endswith("ing") and _has_vowel(w[:-3]):
-        w, second_or_third = w[:-3], True
-    if second_or_third:
-        if w.endswith(("at", "bl", "iz")):
-            w += "e"
-        elif _double_consonant(w) and w[-1] not in "lsz":
-            w = w[:-1]
-        elif _measure(w) == 1 and _cvc(w):
-            w += "e"
-    if w.endswith("y") and _has_vowel(w[:-1]):
-        w = w[:-1] + "i"
-    return w
-
-
-def _step4(w: str) -> str:
-    best = None
-    for suffix in _STEP4:
-        if w.endswith(suffix) and (best is None or len(suffix) > len(best)):
-            best = suffix
-    if best is None:
-        return w
-    stem = w[: len(w) - len(best)]
-    if _measure(stem) <= 1:
-        return w
-    if best == "ion" and not stem.endswith(("s", "t")):
-        return w
-    return stem
-
-
-def _step5(w: str) -> str:
-    if w.endswith("e"):
-        stem = w[:-1]
-        m = _measure(stem)
-        if m > 1 or (m == 1 and not _cvc(stem)):
-            w = stem
-    if _measure(w) > 1 and _double_consonant(w) and w.endswith("l"):
-        w = w[:-1]
-    return w
-
-
-@lru_cache(maxsize=1 << 18)
-def porter_stem(word: str) -> str:
-    """Stem one lower-case word; words of one or two letters are returned unchanged."""
-    if len(word) <= 2:
-        return word
-    w = _step1(word)
-    w = _longest_rule(w, _STEP2, 0)
-    w = _longest_rule(w, _STEP3, 0)
-    w = _step4(w)
-    return _step5(w)
-
-
-@pandas_udf(ArrayType(StringType()))
-def _stem_arrays(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda arr: None if arr is None else [porter_stem(t) for t in arr])
-
-
-def stem_tokens(col) -> Column:
-    """Porter-stem every token of an ``array<string>`` column."""
-    return _stem_arrays(F.col(col) if isinstance(col, str) else col)
-
-
-def normalise_and_stem(col, stop_words: list[str] | None = None) -> Column:
-    """P20 in full: normalised tokens, stemmed, then one copy per text in first-appearance order."""
-    from tweetlake.functions.text import normalise_tokens
-    return F.array_distinct(stem_tokens(normalise_tokens(col, stop_words)))
+
+# Words with stems of their own, and words that stay as they are, at the start or after step 1a.
+SPECIAL = {"skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl",
+           "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl", "sky": "sky", "news": "news", "howe": "howe",
+           "atlas": "atlas", "cosmos": "cosmos", "bias": "bias", "andes": "andes"}
+STAY = ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"]
+# Beginnings after which the first region starts.
+BEGINNINGS = ["gener", "commun", "arsen"]
+# Suffixes of steps 2 to 4 with what replaces them, longest first; a third entry is
+# what must stand before the suffix.
+STEP2 = [("ational", "ate", ""), ("fulness", "ful", ""), ("ousness", "ous", ""), ("iveness", "ive", ""), ("ization", "ize", ""),
+         ("tional", "tion", ""), ("biliti", "ble", ""), ("lessli", "less", ""), ("entli", "ent", ""), ("ation", "ate", ""),
+         ("alism", "al", ""), ("aliti", "al", ""), ("ousli", "ous", ""), ("iviti", "ive", ""), ("fulli", "ful", ""),
+         ("enci", "ence", ""), ("anci", "ance", ""), ("abli", "able", ""), ("izer", "ize", ""), ("ator", "ate", ""),
+         ("alli", "al", ""), ("bli", "ble", ""), ("ogi", "og", "l"), ("li", "", "cdeghkmnrt")]
+STEP3 = [("ational", "ate", ""), ("tional", "tion", ""), ("alize", "al", ""), ("icate", "ic", ""), ("iciti", "ic", ""),
+         ("ative", "", ""), ("ical", "ic", ""), ("ness", "", ""), ("ful", "", "")]
+STEP4 = [("ement", "", ""), ("ance", "", ""), ("ence", "", ""), ("able", "", ""), ("ible", "", ""), ("ment", "", ""),
+         ("ant", "", ""), ("ent", "", ""), ("ism", "", ""), ("ate", "", ""), ("iti", "", ""), ("ous", "", ""), ("ive", "", ""),
+         ("ize", "", ""), ("ion", "", "st"), ("al", "", ""), ("er", "", ""), ("ic", "", "")]
+VOWELS = "aeiouy"
+REGION = f"[^{VOWELS}]*[{VOWELS}]+[^{VOWELS}]"
+SHORT_END = f"([^{VOWELS}][{VOWELS}][^{VOWELS}wxY]|^[{VOWELS}][^{VOWELS}])$"
+
+
+def _without(w: Column, n: int) -> Column:
+    """The word less its last ``n`` letters."""
+    return F.left(w, F.length(w) - F.lit(n))
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _first_region(w: Column) -> Column:
+    """Where the first region begins: after the first vowel and consonant (word's length: nowhere)."""
+    found = F.length(F.regexp_extract(w, f"^{REGION}", 0))
+    start = F.when(found == 0, F.length(w)).otherwise(found)
+    for b in BEGINNINGS:
+        start = F.when(w.startswith(b), F.lit(len(b))).otherwise(start)
+    return start
+
+
+def _second_region(w: Column, first: Column) -> Column:
+    found = F.length(F.regexp_extract(F.substr(w, first + 1), f"^{REGION}", 0))
+    return F.when(found == 0, F.length(w)).otherwise(first + found)
+
+
+def _plurals(w: Column) -> Column:
+    return (F.when(w.endswith("sses"), _without(w, 2))
+            .when(w.rlike("(ied|ies)$"), F.when(F.length(w) > 4, _without(w, 2)).otherwise(_without(w, 1)))
+            .when(w.rlike("(us|ss)$"), w)
+            .when(w.rlike(f"[{VOWELS}].+s$"), _without(w, 1)).otherwise(w))
+
+
+def _past_and_ing(w: Column, first: Column) -> Column:
+    """Step 1b: ``eed`` is shortened; ``ed``, ``ing`` and their ``ly`` go and the word is mended."""
+    bare_eed = F.regexp_replace(w, "eed(ly)?$", "")
+    bare = F.regexp_replace(w, "(ing|ed)(ly)?$", "")
+    return (F.when(w.rlike("eed(ly)?$"), F.when(F.length(bare_eed) >= first, F.concat(bare_eed, F.lit("ee"))).otherwise(w))
+            .when(w.rlike(f"[{VOWELS}].*(ing|ed)(ly)?$"), _bound(bare, lambda x: _mended(x, first))).otherwise(w))
+
+
+def _mended(w: Column, first: Column) -> Column:
+    """A word that lost its ending: an ``e`` again, or one letter of a double less."""
+    short = (F.length(w) <= first) & w.rlike(SHORT_END)
+    return (F.when(w.rlike("(at|bl|iz)$"), F.concat(w, F.lit("e")))
+            .when(w.rlike("(bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), _without(w, 1))
+            .when(short, F.concat(w, F.lit("e"))).otherwise(w))
+
+
+def _suffixes(w: Column, rules: list[tuple[str, str, str]], start: Column, starts: dict[str, Column] | None = None) -> Column:
+    """The longest suffix is replaced if it lies in its region (and stands after the right letter)."""
+    out = w
+    for suffix, put, after in reversed(rules):
+        inside = F.length(w) - F.lit(len(suffix)) >= (starts or {}).get(suffix, start)
+        if after:
+            inside = inside & w.rlike(f"[{after}]{suffix}$")
+        out = F.when(w.endswith(suffix), F.when(inside, F.concat(_without(w, len(suffix)), F.lit(put))).otherwise(w)).otherwise(out)
+    return out
+
+
+def _last_letters(w: Column, first: Column, second: Column) -> Column:
+    at = F.length(w) - 1
+    bare = _without(w, 1)
+    return (F.when(w.endswith("e"), F.when((at >= second) | ((at >= first) & ~bare.rlike(SHORT_END)), bare).otherwise(w))
+            .when(w.endswith("ll") & (at >= second), bare).otherwise(w))
+
+
+def _y_to_i(w: Column) -> Column:
+    return F.when(w.rlike(f".[^{VOWELS}][yY]$"), F.concat(_without(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _steps(w: Column, first: Column, second: Column) -> Column:
+    """Everything after step 1a."""
+    rest = (lambda x: _past_and_ing(x, first), _y_to_i, lambda x: _suffixes(x, STEP2, first),
+            lambda x: _suffixes(x, STEP3, first, {"ative": second}), lambda x: _suffixes(x, STEP4, second),
+            lambda x: _last_letters(x, first, second))
+    for step in rest:
+        w = _bound(w, step)
+    return F.translate(w, "Y", "y")
+
+
+def stem(col) -> Column:
+    """The stem of a lower-case word of a-z; words of one or two letters stay as they are."""
+    word = F.col(col) if isinstance(col, str) else col
+    marked = F.regexp_replace(F.regexp_replace(word, "^y", "Y"), f"([{VOWELS}])y", "$1Y")
+    special = F.try_element_at(F.create_map(*[F.lit(x) for pair in SPECIAL.items() for x in pair]), word)
+    singular = lambda w, first, second: _bound(_plurals(w), lambda x: F.when(x.isin(STAY), x).otherwise(_steps(x, first, second)))
+    whole = _bound(marked, lambda w: _bound(_first_region(w), lambda first: _bound(
+        _second_region(w, first), lambda second: singular(w, first, second))))
+    return F.when(F.length(word) <= 2, word).otherwise(F.coalesce(special, whole))
+
+
+def stem_table(words: DataFrame, col: str = "token", out: str = "stem") -> DataFrame:
+    """``(col, out)``: every distinct word once, with its stem."""
+    return words.select(col).distinct().withColumn(out, stem(col))

@@ -12,7 +12,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tweetlake.functions.numeric import round_half_up_text, value_at
-from tweetlake.functions.stem import normalise_and_stem
 from tweetlake.functions.stopwords import STOP_WORDS
 from tweetlake.functions.text import join_tokens, normalise_tokens
 from tweetlake.operators.cluster import (assemble, centres, centres_table, discretise, fit_kmeans, kmeans_cost,
@@ -225,14 +224,6 @@ def q_normalise_tokens(spark, d):
     return docs.select("doc_id", join_tokens(normalise_tokens("text")).alias("tokens"))
 
 
-# DuckDB offers no Porter stemmer offline, so the stemmed form has no SQL text; the stemmer is
-# checked against the published examples in the tests.
-@query("normalise_tokens_stemmed")
-def q_normalise_tokens_stemmed(spark, d):
-    docs = table(spark, d, "documents")
-    return docs.select("doc_id", join_tokens(normalise_and_stem("text")).alias("tokens"))
-
-
 # ---------------------------------------------------------------------------------------------
 # Trees (M10 M11 M12 M13 M14)
 # ---------------------------------------------------------------------------------------------
