@@ -11,7 +11,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from tweetlake.session import get_spark
-    s = get_spark("local[*]", app="tweetlake-tests", shuffle_partitions=8)
+    s = get_spark("local[8]", app="tweetlake-tests", shuffle_partitions=8)
     yield s
     s.stop()
 

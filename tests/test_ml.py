@@ -1,14 +1,24 @@
 """ML invariants that hold exactly: separable data, saturated models, known centres."""
 
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tweetlake.operators.cluster import discretise, fit_kmeans, centres, kmeans_cost, nearest_centre
+from tweetlake.functions.numeric import value_at
+from tweetlake.operators.cluster import centres, discretise, fit_kmeans, kmeans_cost, nearest_centre, offset_from_mean
 from tweetlake.operators.evaluate import accuracy, mse
 from tweetlake.operators.evaluate import test_error as error_rate
-from tweetlake.operators.models import (fit_logistic, fit_tree_regressor, hash_split, labelled_points,
-                                        tree_text)
+from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor, hash_split, holdout,
+                                        labelled_points, tree_nodes, tree_text, tree_walk)
 from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions, topic_terms
+from tweetlake.session import held, scratch_path
+from tweetlake.sources.sinks import save_model
+
+
+def test_centres_of_two_dimensions(spark):
+    df = spark.createDataFrame([(0,), (2,)], "i int")
+    assert [r[0] for r in df.select(value_at([[1.0, 2], (3, 4), [5, 6.5]], "i")).collect()] == [[1.0, 2.0], [5.0, 6.5]]
+    assert [r[0] for r in df.select(value_at([1, 2, 3], "i")).collect()] == [1.0, 3.0]
 
 
 def _grid(spark, n=500):
@@ -18,16 +28,16 @@ def _grid(spark, n=500):
 
 def test_kmeans_recovers_distinct_values(spark):
     df = _grid(spark)
-    cs = sorted(c[0] for c in centres(fit_kmeans(df, ["a"], 5, 20, 11)))
+    cs = sorted(c[0] for c in centres(fit_kmeans(df, ["a"], 5, 20, 11, compress=True)))
     assert cs == [0.0, 1.0, 2.0, 3.0, 4.0]
     assert kmeans_cost(df, ["a"], [[c] for c in cs]).first().cost == 0.0
 
 
 def test_discretise_centre_and_index(spark):
     df = _grid(spark)
-    out = discretise(df, ["a", "b"], k=5, output="centre")
+    out = discretise(df, ["a", "b"], k=5, output="centre", compress=True)
     assert out.where((F.col("a_centre") != F.col("a")) | (F.col("b_centre") != F.col("b"))).count() == 0
-    idx = discretise(df, ["a"], k=5, output="index")
+    idx = discretise(df, ["a"], k=5, output="index", compress=True)
     # The index is a relabelling of the value: one index per value and vice versa.
     pairs = idx.select("a", "a_cluster").distinct()
     assert pairs.count() == 5 and pairs.select("a_cluster").distinct().count() == 5
@@ -107,11 +117,60 @@ def test_compressed_fits_equal_full_fits(spark):
     pa = fit_logistic(lp, compress=True, max_iter=300, tol=1e-10).coefficientMatrix.toArray()
     pb = fit_logistic(lp, compress=False, max_iter=300, tol=1e-10).coefficientMatrix.toArray()
     assert abs(pa - pb).max() < 1e-4
-    ca = sorted(c[0] for c in centres(fit_kmeans(df, ["y"], 4, 20, 11, compress=True)))
-    cb = sorted(c[0] for c in centres(fit_kmeans(df, ["y"], 4, 20, 11, compress=False)))
-    assert len(ca) == len(cb) == 4
-    assert kmeans_cost(df, ["y"], [[c] for c in ca]).first().cost <= \
-        kmeans_cost(df, ["y"], [[c] for c in cb]).first().cost * 1.05 + 1e-9
+
+
+@pytest.mark.parametrize("compress", [False, True])
+def test_settled_kmeans_is_a_fixed_point_of_all_rows(spark, compress):
+    """Merged or not, every centre is the mean of the rows assigned to it, and every row is counted."""
+    df = spark.range(0, 3000).select((F.col("id") % 11).cast("double").alias("y"), (F.col("id") % 7).cast("double").alias("z"))
+    model = fit_kmeans(df, ["y", "z"], 4, 200, 11, compress=compress, tol=0.0)
+    rows = offset_from_mean(df, ["y", "z"], model).collect()
+    assert len(rows) == 4 and sum(r.size for r in rows) == 3000 and all(r.distance < 1e-9 for r in rows)
+
+
+def test_a_held_input_is_released(spark):
+    df = spark.range(10).select((F.col("id") * 2).alias("x"))
+    with held(df) as cached:
+        assert cached.is_cached and cached.count() == 10
+    assert not cached.is_cached
+    with pytest.raises(ValueError), held(df) as cached:
+        raise ValueError
+    assert not cached.is_cached
+    out = discretise(df.select(F.col("x").cast("double").alias("x")), ["x"], k=2, compress=True)
+    assert not out.is_cached and out.count() == 10
+
+
+def test_holdout_parts_are_apart_and_whole(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else "k") for i in range(500)], "a long, b string")
+    train, test = holdout(df, ["a", "b"], 0.6)
+    assert train.count() + test.count() == 500 and train.intersect(test).count() == 0 and 0.5 < train.count() / 500 < 0.7
+
+
+def test_classes_without_rows_keep_their_place(spark):
+    df = spark.range(0, 300).select((F.col("id") % 2).alias("g"), (F.col("id") % 2).alias("y"))
+    pts = labelled_points(df, "y", ["g"], num_classes=4)
+    for compress in (False, True):
+        assert fit_tree_classifier(pts, compress=compress).numClasses == 4
+        assert fit_logistic(pts, compress=compress, max_iter=5).numClasses == 4
+
+
+def test_saved_tree_walks_like_the_model(spark):
+    """Numbers and nominal features, classes and numbers; a node knows its parent, depth and weight."""
+    df = spark.range(0, 900).select((F.col("id") % 5).alias("g"), (F.col("id") % 13).cast("double").alias("x"),
+                                    (F.col("id") * 7 % 5 + F.col("id") % 13).cast("double").alias("y"), (F.col("id") % 13 % 3).alias("c"))
+    for label, fit, depth in (("y", fit_tree_regressor, 6), ("c", fit_tree_classifier, 4)):
+        pts = labelled_points(df, label, ["g", "x"], nominal_arity={"g": 5})
+        model = fit(pts, max_depth=depth, compress=True)
+        path = scratch_path(spark, "tree-test")
+        save_model(model, path)
+        nodes = tree_nodes(spark, path).cache()
+        assert nodes.count() == model.numNodes and nodes.agg(F.max("depth")).first()[0] == model.depth
+        assert nodes.where("parent IS NULL").first().weight == 900
+        inner = nodes.where("feature IS NOT NULL")
+        below = nodes.groupBy(F.col("parent").alias("node")).agg(F.sum("weight").alias("w"))
+        assert inner.join(below, "node").where("weight <> w").count() == 0
+        both = tree_walk(nodes, model.transform(pts).select("features", F.col("prediction").alias("own")), model.depth)
+        assert both.count() == 900 and both.where("own <> prediction").count() == 0
 
 
 def test_kmeans_finds_every_value_of_a_duplicated_feature(spark):
@@ -119,7 +178,7 @@ def test_kmeans_finds_every_value_of_a_duplicated_feature(spark):
     # samples distinct values once rows are merged, so no value is left without a centre.
     df = spark.range(0, 15000).select((F.col("id") % 12 + 1).alias("month")) \
         .select((F.col("month") % 5).cast("double").alias("m"))
-    assert sorted(c[0] for c in centres(fit_kmeans(df, ["m"], 5, 20, 11))) == [0.0, 1.0, 2.0, 3.0, 4.0]
+    assert sorted(c[0] for c in centres(fit_kmeans(df, ["m"], 5, 20, 11, compress=True))) == [0.0, 1.0, 2.0, 3.0, 4.0]
 
 
 def test_kmeans_k50_sizes_cover_every_row(spark, sf_dir):

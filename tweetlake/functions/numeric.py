@@ -47,7 +47,9 @@ def feature_row_text(cols: list, scale: int | None = 1) -> Column:
     return F.concat_ws(" ", *parts)
 
 
-def value_at(values: list[float], index_col) -> Column:
-    """Element ``index`` (0-based) of a small literal array, e.g. a cluster's centre."""
-    arr = F.array(*[F.lit(float(v)) for v in values])
-    return F.element_at(arr, _c(index_col).cast("int") + 1)
+def value_at(values: list, index_col) -> Column:
+    """Element ``index`` (0-based) of a small literal array, e.g. a cluster's centre: a number, or
+    for centres of several dimensions an array of numbers."""
+    def literal(v) -> Column:
+        return F.array(*[F.lit(float(x)) for x in v]) if isinstance(v, (list, tuple)) else F.lit(float(v))
+    return F.element_at(F.array(*[literal(v) for v in values]), _c(index_col).cast("int") + 1)

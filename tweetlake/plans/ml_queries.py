@@ -6,7 +6,6 @@ give (e.g. a tree deep enough to separate every group predicts the group mean).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from tweetlake.functions.numeric import round_half_up_text, value_at
 from tweetlake.functions.stopwords import STOP_WORDS
 from tweetlake.functions.text import join_tokens, normalise_tokens
 from tweetlake.operators.cluster import (assemble, centres, centres_table, discretise, fit_kmeans, kmeans_cost,
-                                         nearest_centre)
+                                         nearest_centre, offset_from_mean)
 from tweetlake.operators.evaluate import accuracy, mismatches, mse, test_error
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor,
                                         hash_split, labelled_points, random_split, tree_text)
@@ -25,7 +24,7 @@ from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_ro
 from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions, topic_rows, topic_terms
 from tweetlake.plans.registry import query
 from tweetlake.session import scratch_path
-from tweetlake.sources.sinks import load_model, pair_text, save_model
+from tweetlake.sources.sinks import array_text, load_model, pair_text, save_model
 from tweetlake.sources.tables import table
 
 # ---------------------------------------------------------------------------------------------
@@ -76,7 +75,7 @@ SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS center FROM ord
 def q_kmeans_fit(spark, d):
     orders = table(spark, d, "orders").select(
         F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"))
-    model = fit_kmeans(orders, ["priority"], k=5, max_iter=20, seed=11)
+    model = fit_kmeans(orders, ["priority"], k=5, max_iter=20, seed=11, compress=True)
     return spark.createDataFrame([(round(c[0], 6),) for c in centres(model)], "center double")
 
 
@@ -96,6 +95,35 @@ def q_kmeans_k50(spark, d):
             .select("cluster", "center", F.coalesce("size", F.lit(0)).alias("size")))
 
 
+@query("kmeans_k50_settled", """
+SELECT CAST(r.range AS INTEGER) AS cluster, CAST(0.0 AS DOUBLE) AS distance,
+       (SELECT count(*) FROM lineitem) AS n_rows FROM range(50) r
+""")
+def q_kmeans_k50_settled(spark, d):
+    """M1-M3: a fit run until it settles is a fixed point over the rows as they are: every centre is the
+    mean of the rows assigned to it, and every row is assigned."""
+    pts = table(spark, d, "lineitem").select(F.col("l_quantity").cast("double").alias("qty"),
+                                             (F.col("l_discount") * 100).alias("disc"))
+    model = fit_kmeans(pts, ["qty", "disc"], k=50, max_iter=300, seed=11, compress=True, tol=0.0)
+    apart = offset_from_mean(pts, ["qty", "disc"], model)
+    return apart.crossJoin(apart.agg(F.sum("size").alias("n_rows"))).select("cluster", F.round("distance", 6).alias("distance"), "n_rows")
+
+
+# Five 2-D centres on (l_quantity, 100 * l_tax), dyadic as above.
+PLANE = [[4.25, 1.5], [13.5, 6.125], [24.125, 0.25], [33.75, 4.5], [46.5, 7.75]]
+SQL_PLANE = "[" + ", ".join(f"(q - {a}) * (q - {a}) + (t - {b}) * (t - {b})" for a, b in PLANE) + "]"
+
+
+@query("kmeans_centre_plane", f"""
+SELECT l_orderkey, l_linenumber, [{', '.join(f"'[{a},{b}]'" for a, b in PLANE)}][list_position(ds, list_min(ds))] AS centre
+FROM (SELECT *, {SQL_PLANE} AS ds FROM (SELECT l_orderkey, l_linenumber, l_quantity AS q, round(l_tax * 100) AS t FROM lineitem))
+""")
+def q_kmeans_centre_plane(spark, d):
+    """P22 for centres of two dimensions: each row's centre as text."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("q"), F.round(F.col("l_tax") * 100).alias("t"))
+    return li.select("l_orderkey", "l_linenumber", array_text(value_at(PLANE, nearest_centre(["q", "t"], PLANE))).alias("centre"))
+
+
 def _five_valued(li):
     return li.select(
         "l_orderkey", "l_linenumber",
@@ -124,7 +152,7 @@ FROM ({SQL_FIVE})
 def q_kmeans_discretise(spark, d):
     from tweetlake.functions.numeric import feature_row_text
     feats = _five_valued(table(spark, d, "lineitem"))
-    out = discretise(feats, FIVE, k=5, max_iter=20, seed=11, output="centre")
+    out = discretise(feats, FIVE, k=5, max_iter=20, seed=11, output="centre", compress=True)
     return out.select("l_orderkey", "l_linenumber",
                       feature_row_text([c + "_centre" for c in FIVE], 1).alias("row"))
 
@@ -139,7 +167,7 @@ UNION ALL SELECT 'f_part', count(*) FROM f GROUP BY f_part
 """)
 def q_kmeans_discretise_index(spark, d):
     feats = _five_valued(table(spark, d, "lineitem"))
-    out = discretise(feats, FIVE, k=5, max_iter=20, seed=11, output="index")
+    out = discretise(feats, FIVE, k=5, max_iter=20, seed=11, output="index", compress=True)
     # cluster indices are arbitrary labels; compare the grouping they induce
     stacked = out.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c + "_cluster").alias("cluster"))
                                              for c in FIVE])).alias("s")).select("s.*")
@@ -293,8 +321,8 @@ def q_tree_text(spark, d):
 def _one_hot_lines(spark, d):
     li = table(spark, d, "lineitem")
     onehot = [(F.col("l_linenumber") == i).cast("double").alias(f"line_{i}") for i in range(1, 8)]
-    base = li.select("l_linenumber", F.pmod("l_partkey", F.lit(10)).cast("double").alias("cls"), *onehot)
-    return labelled_points(base, "cls", [f"line_{i}" for i in range(1, 8)], keep=["l_linenumber"])
+    base = li.select("l_orderkey", "l_linenumber", F.pmod("l_partkey", F.lit(10)).cast("double").alias("cls"), *onehot)
+    return labelled_points(base, "cls", [f"line_{i}" for i in range(1, 8)], keep=["l_orderkey", "l_linenumber"])
 
 
 def _fit_saturated_logistic(spark, d):
@@ -302,33 +330,33 @@ def _fit_saturated_logistic(spark, d):
 
 
 SQL_GROUP_FREQ = """
-SELECT l_linenumber, label, round(n / sum(n) OVER (PARTITION BY l_linenumber), 4) AS probability FROM (
+SELECT l_linenumber, label, round(n / sum(n) OVER (PARTITION BY l_linenumber), 4) AS probability,
+       CAST(sum(n) OVER (PARTITION BY l_linenumber) AS BIGINT) AS n_rows FROM (
   SELECT l_linenumber, CAST(l_partkey % 10 AS INTEGER) AS label, count(*) AS n FROM lineitem GROUP BY ALL)"""
 
 
-def _group_rows(spark, d):
-    return _one_hot_lines(spark, d).dropDuplicates(["l_linenumber"])
-
-
 @query("logistic_fit", SQL_GROUP_FREQ)
 def q_logistic_fit(spark, d):
+    """Every row is scored; per line number, the mean probability of each class over its rows."""
     model = _fit_saturated_logistic(spark, d)
-    probs = model.transform(_group_rows(spark, d)).select("l_linenumber", vector_to_array("probability").alias("p"))
-    return probs.select("l_linenumber", F.posexplode("p").alias("label", "probability")) \
-        .select("l_linenumber", "label", F.round("probability", 4).alias("probability"))
+    probs = model.transform(_one_hot_lines(spark, d)).select("l_linenumber", vector_to_array("probability").alias("p"))
+    return (probs.select("l_linenumber", F.posexplode("p").alias("label", "probability")).groupBy("l_linenumber", "label")
+            .agg(F.round(F.avg("probability"), 4).alias("probability"), F.count(F.lit(1)).alias("n_rows")))
 
 
 @query("model_roundtrip", """
-WITH c AS (SELECT l_linenumber, l_partkey % 10 AS label, count(*) AS n FROM lineitem GROUP BY ALL)
-SELECT l_linenumber, CAST(label AS DOUBLE) AS prediction FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_linenumber ORDER BY n DESC, label) AS rn FROM c) WHERE rn = 1
+WITH c AS (SELECT l_linenumber, l_partkey % 10 AS label, count(*) AS n FROM lineitem GROUP BY ALL),
+m AS (SELECT l_linenumber, label FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_linenumber ORDER BY n DESC, label) AS rn FROM c) WHERE rn = 1)
+SELECT l_orderkey, l_linenumber, CAST(label AS DOUBLE) AS prediction FROM lineitem JOIN m USING (l_linenumber)
 """)
 def q_model_roundtrip(spark, d):
+    """K10 + K11: saved, loaded, and every row scored by what was loaded."""
     model = _fit_saturated_logistic(spark, d)
     path = scratch_path(spark, "logistic-model")
     save_model(model, path)
     loaded = load_model(LogisticRegressionModel, path)
-    return loaded.transform(_group_rows(spark, d)).select("l_linenumber", "prediction")
+    return loaded.transform(_one_hot_lines(spark, d)).select("l_orderkey", "l_linenumber", "prediction")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -388,7 +416,14 @@ def q_random_split_union(spark, d):
     return train.unionByName(test)
 
 
-@query("hash_split")
+SQL_BUCKET = "CAST('0x' || substr(md5(concat_ws('|', {keys})), 1, 8) AS BIGINT) % 10000"
+
+
+@query("hash_split", f"""
+SELECT l_orderkey, l_linenumber,
+       CAST(CASE WHEN {SQL_BUCKET.format(keys='l_orderkey, l_linenumber')} < 7000 THEN 0 ELSE 1 END AS INTEGER) AS part
+FROM lineitem
+""")
 def q_hash_split(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     return hash_split(li, ["l_orderkey", "l_linenumber"], [0.7, 0.3])

@@ -10,7 +10,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -28,7 +27,7 @@ from tweetlake.operators.sql import names_in_range, register_view
 from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions
 from tweetlake.plans.ml_queries import SQL_NORM_TOKENS
 from tweetlake.plans.registry import query
-from tweetlake.session import cut_lineage, scratch_path
+from tweetlake.session import cut_lineage, held, scratch_path
 from tweetlake.sources.json import read_json_lines
 from tweetlake.sources.sinks import write_text
 from tweetlake.sources.tables import table
@@ -111,15 +110,16 @@ def sentiment_tree(weather, tweets, key: list[str], label: str, features: list[s
     """Discretise each weather reading into ``k`` k-means clusters, give every labelled row
     its weather's cluster indices (a missing key fails the job), and fit a regression tree on
     the indices as nominal features of arity ``k``.  Returns ``(model or None, labelled points)``."""
-    binned = discretise(weather, features, k=k, seed=seed, output="index", suffix="_bin")
+    # Readings repeat, and every one of their values is to get a cluster of its own.
+    binned = discretise(weather, features, k=k, seed=seed, output="index", suffix="_bin", compress=True)
     bins = [c + "_bin" for c in features]
     looked = strict_lookup(tweets, binned.select(*key, *bins), key, check_col=bins[0], on_missing="fail")
     pts = labelled_points(looked, label, bins, nominal_arity={b: k for b in bins},
                           keep=[c for c in tweets.columns if c != label])
     if not fit:
         return None, pts
-    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    return fit_tree_regressor(pts, max_depth=max_depth, max_bins=max_bins, seed=seed, compress=True), pts
+    with held(pts) as cached:
+        return fit_tree_regressor(cached, max_depth=max_depth, max_bins=max_bins, seed=seed, compress=True), pts
 
 
 def _sentiment_fit(spark, d, fit: bool = True):

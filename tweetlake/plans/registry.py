@@ -29,4 +29,4 @@ def query(key: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (each registers its queries on import)."""
-    from tweetlake.plans import io_queries, ml_queries, programs, stem_queries, text_queries  # noqa: F401
+    from tweetlake.plans import holdout_queries, io_queries, ml_queries, programs, stem_queries, text_queries  # noqa: F401

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +40,9 @@ def conversation_words(spark: SparkSession, d: str) -> DataFrame:
 
 def doc_pairs_and_index(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Distinct ``(doc_id, token)`` pairs and the dictionary index built from them.  Each
-    document is one row, so its duplicate words are dropped inside the row (no shuffle); the
-    pairs are kept (spilling to disk) so the corpus is read and split a single time."""
-    pairs = doc_token_pairs(doc_token_arrays(spark, d)).persist(StorageLevel.MEMORY_AND_DISK)
+    document is one row, so its duplicate words are dropped inside the row (no shuffle).  Nothing is
+    cached: the numbered dictionary is a checkpoint, and the pairs are split again for the join."""
+    pairs = doc_token_pairs(doc_token_arrays(spark, d))
     return pairs, index_tokens(dictionary_from_words(pairs, "token"), "token", "term_id")
 
 

@@ -10,7 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
@@ -68,3 +71,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss; never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+@contextmanager
+def held(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """``df`` cached for the jobs of a ``with`` block and released when the block ends, by an error
+    too.  What is built inside and read later is computed again from ``df``'s own plan."""
+    cached = df.select("*").persist(level)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
