@@ -1,16 +1,17 @@
 """ML invariants that hold exactly: separable data, saturated models, known centres."""
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tweetlake.functions.numeric import value_at
+from tweetlake.operators import topics
 from tweetlake.operators.cluster import centres, discretise, fit_kmeans, kmeans_cost, nearest_centre, offset_from_mean
 from tweetlake.operators.evaluate import accuracy, mse
 from tweetlake.operators.evaluate import test_error as error_rate
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor, hash_split, holdout,
                                         labelled_points, tree_nodes, tree_text, tree_walk)
-from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions, topic_terms
 from tweetlake.session import held, scratch_path
 from tweetlake.sources.sinks import save_model
 
@@ -94,16 +95,77 @@ def test_hash_split_depends_on_key_only(spark):
     assert 0.65 < share < 0.75
 
 
-def test_lda_weights_and_distributions(spark):
-    rows = spark.createDataFrame([(i, [0, 3] + ([1, 2] if i % 2 else [])) for i in range(40)] + [(40, [])],
-                                 "doc_number long, indices array<bigint>")
-    vec = row_vectors(rows, 5)
-    weights = fitted_weights(fit_lda(vec, k=2, max_iter=10))
-    totals = {r.term_id: r.t for r in topic_terms(weights).groupBy("term_id").agg(F.sum("weight").alias("t")).collect()}
+def _topic_entries():
+    """Three topics of words of their own, and a few words of all."""
+    rng = np.random.default_rng(3)
+    rows = set()
+    for doc in range(60):
+        own = range(10 * (doc % 3), 10 * (doc % 3) + 10)
+        rows |= {(doc, int(t)) for t in [*rng.choice(own, 6, replace=False), *rng.choice(range(30, 37), 2, replace=False)]}
+    return sorted(rows)
+
+
+def test_topics_equal_em_in_memory(spark):
+    """Blocks of a few documents and terms against the same updates on plain arrays."""
+    rows, k = _topic_entries(), 3
+    d, t = np.array(rows).T
+    g = topics._start(d, t, k, 5)
+    for _ in range(8):
+        g = g / g.sum(1, keepdims=True)
+        of_docs, of_terms = np.zeros((60, k)), np.zeros((37, k))
+        np.add.at(of_docs, d, g)
+        np.add.at(of_terms, t, g)
+        g = (of_terms[t] + 0.1) * (of_docs[d] + 50 / k) / (of_terms.sum(0) + 37 * 0.1)
+    entries = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_number long, term_id long, value double")
+    for sizes in ({}, {"docs_each": 7, "terms_each": 4}):
+        model = topics.fit_topics(entries, 37, k=k, max_iter=7, seed=5, **sizes)
+        got = {r.term_id: r.weights for r in model.terms.collect()}
+        assert all(np.allclose(got[i], of_terms[i]) for i in range(37)) and len(got) == 37
+        got = {r.doc_number: r.weights for r in model.docs.collect()}
+        assert all(np.allclose(got[i], of_docs[i]) for i in range(60)) and len(got) == 60
+
+
+def test_topics_are_found_as_well_as_by_spark(spark):
+    """Log-likelihood of the entries under the fitted topics, against ``pyspark.ml``'s EM."""
+    rows = _topic_entries()
+    d, t = np.array(rows).T
+    entries = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_number long, term_id long, value double")
+    model = topics.fit_topics(entries, 37, k=3, max_iter=40)
+
+    def likelihood(of_terms, of_docs):
+        p = (of_docs / of_docs.sum(1, keepdims=True)) @ (of_terms / of_terms.sum(0)).T
+        return np.log(p[d, t]).mean()
+
+    ours = likelihood(np.array([r.weights for r in model.terms.orderBy("term_id").collect()]),
+                      np.array([r.weights for r in model.docs.orderBy("doc_number").collect()]))
+    indices = spark.createDataFrame([(i, [int(b) for a, b in rows if a == i]) for i in range(60)], "doc_number long, indices array<bigint>")
+    vectors = topics.row_vectors(indices, 37).orderBy("label")
+    theirs = topics.fit_lda(vectors, k=3, max_iter=40)
+    shares = np.array([r.topicDistribution.toArray() for r in theirs.transform(vectors).orderBy("label").collect()])
+    assert ours > likelihood(theirs.topicsMatrix().toArray(), shares) - 0.05
+
+
+def test_topic_weights_and_distributions(spark):
+    pairs = [(i, t, 1.0) for i in range(40) for t in [0, 3] + ([1, 2] if i % 2 else [])]
+    model = topics.fit_topics(spark.createDataFrame(pairs, "doc_number long, term_id long, value double"), 5, k=2, max_iter=10)
+    terms = topics.topic_terms(model)
+    totals = {r.term_id: r.t for r in terms.groupBy("term_id").agg(F.sum("weight").alias("t")).collect()}
     assert {t: round(w, 6) for t, w in totals.items()} == {0: 40, 1: 20, 2: 20, 3: 40}
-    dist = {r.doc_number: r.topicDistribution for r in topic_distributions(weights, vec, 2).collect()}
-    assert len(dist) == 41 and dist[40] == [0.0, 0.0]
-    assert all(abs(sum(dist[i]) - 1.0) < 1e-9 for i in range(40))
+    assert {round(r.t, 9) for r in terms.groupBy("topic").agg(F.sum("weight_normalised").alias("t")).collect()} == {1.0}
+    docs = spark.createDataFrame([(i, f"d{i}") for i in range(41)], "doc_number long, name string")
+    dist = {r.name: r.topicDistribution for r in topics.topic_distributions(model, docs).collect()}
+    assert len(dist) == 41 and dist["d40"] == [0.0, 0.0]
+    assert all(abs(sum(dist[f"d{i}"]) - 1.0) < 1e-9 for i in range(40))
+    parts = sorted((r.topic, r.part, r.text) for r in topics.topic_rows(terms, run=3).collect())
+    assert [(t, p) for t, p, _ in parts] == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    lines = ["".join(x for t, _, x in parts if t == i) for i in (0, 1)]
+    assert lines[0].startswith("Topic 0: ") and len(lines[0].split()) == len(lines[1].split()) == 6
+
+
+def test_topics_of_no_entries(spark):
+    model = topics.fit_topics(spark.createDataFrame([], "doc_number long, term_id long, value double"), 0, k=2, max_iter=2)
+    docs = spark.createDataFrame([(0,)], "doc_number long")
+    assert model.terms.count() == 0 and topics.topic_distributions(model, docs).first().topicDistribution == [0.0, 0.0]
 
 
 def test_compressed_fits_equal_full_fits(spark):

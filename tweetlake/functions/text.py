@@ -78,8 +78,9 @@ def word_runs(col) -> Column:
 
 def normalise_tokens(col, stop_words: list[str] | None = None) -> Column:
     """P20 without stemming: word runs, keep alphabetic runs of two or more letters, drop stop
-    words; one copy per text in first-appearance order (``array_except`` keeps that order)."""
-    words = F.filter(word_runs(col), lambda w: w.rlike("^[a-z][a-z]+$"))
+    words; one copy per text in first-appearance order (``array_except`` keeps that order).  A run of
+    letters between two characters outside words is such a run, so one pattern finds them."""
+    words = F.regexp_extract_all(F.lower(_c(col)), F.lit(r"(?<![a-z0-9_])[a-z]{2,}(?![a-z0-9_])"), 0)
     stops = STOP_WORDS if stop_words is None else stop_words
     return F.array_except(words, F.array(*[F.lit(s) for s in stops]).cast("array<string>"))
 

@@ -1,57 +1,177 @@
 """Topic models.
 
-The model is fitted on the whole dictionary: documents become sparse 0/1 vectors from their J2
-rows (written and read as libsvm, so no vocabulary passes through the driver), and
-``pyspark.ml.clustering.LDA`` with the EM optimiser fits them (it checkpoints its graph into
-the shared folder every ``checkpoint_interval`` iterations).  Topics and documents are read as
-tables from the saved model's graph: a term's or document's fitted weights are one row each.
+EM runs on the long table ``(doc_number, term_id, value)``, cut into cells: a run of documents
+against a run of terms, a few arrays each, so a cell's size is bounded by its entries.  Document
+and term weights lie in blocks of the same runs.  An iteration joins every cell to its two blocks,
+shares out each entry over the topics, sums what falls on documents and terms inside the task,
+and adds the tasks' sums block by block.  The driver keeps one number per topic.
+
+``fit_lda`` is ``pyspark.ml``'s own LDA, for its online optimiser or a model object to save.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tweetlake.session import ensure_checkpoint_dir, scratch_path
+from tweetlake.session import ensure_checkpoint_dir, scratch_path, ship_package
 
+DOCS, TERMS = 1 << 14, 1 << 16
+SUMS = "kind string, block long, w binary, by_topic array<double>"
+
+
+class TopicModel(NamedTuple):
+    terms: DataFrame  # (term_id, weights): expected occurrences of the term in each topic
+    docs: DataFrame  # (doc_number, weights): expected words of the document from each topic
+    k: int
+    vocab_size: int
+
+
+def _pack(part: pd.DataFrame) -> pd.DataFrame:
+    raw = lambda c, kind: part[c].to_numpy().astype(kind).tobytes()
+    return pd.DataFrame({"dblock": part["dblock"].iloc[:1], "tblock": part["tblock"].iloc[:1], "d": [raw("d", "<i4")],
+                         "t": [raw("t", "<i4")], "n": [raw("value", "<f8")]})
+
+
+def _cells(entries: DataFrame, docs_each: int, terms_each: int) -> DataFrame:
+    place = entries.select(
+        F.expr(f"doc_number div {docs_each}").alias("dblock"), F.expr(f"term_id div {terms_each}").alias("tblock"),
+        F.expr(f"doc_number % {docs_each}").cast("int").alias("d"), F.expr(f"term_id % {terms_each}").cast("int").alias("t"), "value")
+    return place.groupBy("dblock", "tblock").applyInPandas(_pack, "dblock long, tblock long, d binary, t binary, n binary")
+
+
+def _start(doc: np.ndarray, term: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Random shares of each entry, drawn from its numbers: the same in every attempt of a task."""
+    x = (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (term.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    x = x[:, None] + np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed)
+    for shift in (30, 27):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(11)).astype(np.float64) / 2.0 ** 53 + 1e-12
+
+
+def _shared_out(k: int, docs_each: int, terms_each: int, seed: int, totals: np.ndarray | None, vocab_size: int):
+    """The task side of an iteration; without totals the first, random one."""
+    alpha, eta = 50.0 / k + 1.0, 1.1
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[str, int], np.ndarray] = {}
+
+        def rows(keys) -> pd.DataFrame:
+            keys = list(keys)
+            return pd.DataFrame({"kind": [x for x, _ in keys], "block": [b for _, b in keys], "w": [held.pop(x).tobytes() for x in keys]})
+
+        for part in parts:
+            for r in part.itertuples(index=False):
+                d, t, n = np.frombuffer(r.d, "<i4"), np.frombuffer(r.t, "<i4"), np.frombuffer(r.n, "<f8")
+                if totals is None:
+                    g = _start(d + r.dblock * docs_each, t + r.tblock * terms_each, k, seed)
+                else:
+                    of_docs = np.frombuffer(r.dw).reshape(docs_each, k)
+                    of_terms = np.frombuffer(r.tw).reshape(terms_each, k)
+                    g = (of_terms[t] + (eta - 1)) * (of_docs[d] + (alpha - 1)) / (totals + vocab_size * (eta - 1))
+                g = g * (n / g.sum(1))[:, None]
+                for kind, block, at, size in (("d", r.dblock, d, docs_each), ("t", r.tblock, t, terms_each)):
+                    add = np.stack([np.bincount(at, g[:, j], minlength=size) for j in range(k)], 1)
+                    held[kind, block] = held[kind, block] + add if (kind, block) in held else add
+                if len(held) > 32:  # a task holds few blocks, whatever it reads
+                    yield rows(sorted(held)[:24])
+        if held:
+            yield rows(sorted(held))
+
+    return run
+
+
+def _added(k: int):
+    """Sums of sorted (kind, block) rows, one block at a time, and a term block's totals by topic."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, total = None, None
+
+        def row() -> pd.DataFrame:
+            by_topic = total.reshape(-1, k).sum(0) if key[0] == "t" else None
+            return pd.DataFrame({"kind": [key[0]], "block": [key[1]], "w": [total.tobytes()], "by_topic": [by_topic]})
+
+        for part in parts:
+            for kind, block, w in zip(part["kind"], part["block"], part["w"]):
+                x = np.frombuffer(w)
+                if (kind, block) == key:
+                    total = total + x
+                    continue
+                if key is not None:
+                    yield row()
+                key, total = (kind, block), x
+        if key is not None:
+            yield row()
+
+    return run
+
+
+def _rows_of(blocks: DataFrame, kind: str, name: str, each: int, k: int) -> DataFrame:
+    def spread(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for block, w in zip(part["block"], part["w"]):
+                x = np.frombuffer(w).reshape(each, k)
+                at = np.flatnonzero(x.any(1))
+                for some in np.array_split(at, 1 + len(at) // 8192):
+                    yield pd.DataFrame({name: block * each + some, "weights": list(x[some])})
+    return blocks.where(F.col("kind") == kind).select("block", "w").mapInPandas(spread, f"{name} long, weights array<double>")
+
+
+def fit_topics(entries: DataFrame, vocab_size: int, k: int = 3, max_iter: int = 20, seed: int = 11,
+               docs_each: int = DOCS, terms_each: int = TERMS) -> TopicModel:
+    """M6: ``entries(doc_number, term_id, value)``, numbered densely from 0, fitted by EM with the
+    concentrations 50 / k + 1 (documents) and 1.1 (topics).  Per term, and per document, the weights
+    over the topics add up to its total value; what has no entries has no row."""
+    spark = entries.sparkSession
+    ship_package(spark)
+    path = scratch_path(spark, "topics")
+    _cells(entries, docs_each, terms_each).write.parquet(f"{path}/cells")
+    cells = spark.read.parquet(f"{path}/cells")
+    blocks, totals = None, None
+    for i in range(max_iter + 1):
+        now = cells
+        if blocks is not None:
+            side = lambda kind, block, w: blocks.where(F.col("kind") == kind).select(F.col("block").alias(block), F.col("w").alias(w))
+            now = cells.join(side("d", "dblock", "dw"), "dblock").join(side("t", "tblock", "tw"), "tblock")
+        run = _shared_out(k, docs_each, terms_each, seed, totals, vocab_size)
+        sums = (now.mapInPandas(run, "kind string, block long, w binary").repartition("kind", "block")
+                .sortWithinPartitions("kind", "block").mapInPandas(_added(k), SUMS))
+        sums.write.parquet(f"{path}/weights-{i}")
+        blocks = spark.read.schema(SUMS).parquet(f"{path}/weights-{i}")
+        if i < max_iter:
+            # One row per run of terms.
+            totals = sum((np.array(r.by_topic) for r in blocks.where("kind = 't'").select("by_topic").collect()), np.zeros(k))
+    return TopicModel(_rows_of(blocks, "t", "term_id", terms_each, k), _rows_of(blocks, "d", "doc_number", docs_each, k), k, vocab_size)
 
-def row_vectors(rows: DataFrame, size: int, doc_number: str = "doc_number", index_col: str = "indices") -> DataFrame:
-    """J2 rows ``(doc_number, indices)`` as ``(label = doc_number, features, graph_id)``.
 
-    ``graph_id`` is the number that the EM graph gives the document: its place in the files."""
+def row_vectors(rows: DataFrame, size: int, doc_number: str = "doc_number", index_col: str = "indices") -> DataFrame:
+    """J2 rows ``(doc_number, indices)`` as ``(label = doc_number, features)`` for ``fit_lda``."""
     spark = rows.sparkSession
     path = scratch_path(spark, "row-vectors")
     cells = F.transform(F.sort_array(index_col), lambda i: F.concat((i + 1).cast("string"), F.lit(":1.0")))
     rows.select(F.concat_ws(" ", F.col(doc_number).cast("string"), F.array_join(cells, " ")).alias("value")).write.text(path)
-    vectors = spark.read.format("libsvm").option("numFeatures", str(max(1, size))).load(path)
-    return vectors.withColumn("graph_id", F.monotonically_increasing_id())
+    return spark.read.format("libsvm").option("numFeatures", str(max(1, size))).load(path)
 
 
 def fit_lda(vectors: DataFrame, k: int = 3, max_iter: int = 20, seed: int = 11,
             optimizer: str = "em", checkpoint_interval: int = 10, features_col: str = "features") -> LDAModel:
-    """M6."""
+    """M6 by ``pyspark.ml``."""
     ensure_checkpoint_dir(vectors.sparkSession)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer=optimizer,
               checkpointInterval=checkpoint_interval, featuresCol=features_col)
     return lda.fit(vectors)
 
 
-def fitted_weights(model: LDAModel) -> DataFrame:
-    """``(id, weights)`` of the fitted EM graph: terms have negative, documents other ids."""
-    spark = SparkSession.getActiveSession()
-    path = scratch_path(spark, "lda-model")
-    model.write().save(path)
-    counts = spark.read.parquet(f"{path}/oldModel/data/topicCounts")
-    return counts.select("id", vector_to_array("topicWeights").alias("weights"))
-
-
-def topic_terms(weights: DataFrame, dictionary: DataFrame | None = None, token_col: str = "token",
+def topic_terms(model: TopicModel, dictionary: DataFrame | None = None, token_col: str = "token",
                 index_col: str = "term_id") -> DataFrame:
     """M7 + D16: long table ``(term_id[, term], topic, weight, weight_normalised)``; raw
     expected counts, and the weight normalised within the topic."""
-    long = weights.where("id < 0").select((-F.col("id") - 1).alias("term_id"), F.posexplode("weights").alias("topic", "weight"))
+    long = model.terms.select("term_id", F.posexplode("weights").alias("topic", "weight"))
     totals = long.groupBy("topic").agg(F.sum("weight").alias("_total"))
     # One row per topic.
     long = long.join(F.broadcast(totals), "topic").withColumn("weight_normalised", F.col("weight") / F.col("_total")).drop("_total")
@@ -60,22 +180,28 @@ def topic_terms(weights: DataFrame, dictionary: DataFrame | None = None, token_c
     return long.join(dictionary.select(F.col(index_col).alias("term_id"), F.col(token_col).alias("term")), "term_id")
 
 
-def topic_rows(terms: DataFrame) -> DataFrame:
-    """M7 text + U2: one row per topic, ``Topic i: w w ...`` with the weights in term order
-    (one exploded table instead of k unions; no blank seed row, D15).  A row is as long as the
-    dictionary by its format; ``topic_terms`` is the form that scales."""
-    rows = (terms.groupBy("topic")
+def topic_rows(terms: DataFrame, run: int = 8192) -> DataFrame:
+    """M7 text + U2: ``(topic, part, text)``; a topic's parts, one after another, are its line
+    ``Topic i: w w ...`` with the weights in term order (no blank seed row, D15).  A part holds ``run``
+    terms, so no row, group or task is as long as the dictionary."""
+    rows = (terms.groupBy("topic", F.expr(f"term_id div {int(run)}").alias("part"))
             .agg(F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("_w")))
-    text = F.concat(F.lit("Topic "), F.col("topic").cast("string"), F.lit(": "),
-                    F.array_join(F.transform("_w", lambda s: s["weight"].cast("string")), " "))
-    return rows.select("topic", text.alias("text"))
+    begins = F.when(F.col("part") == 0, F.concat(F.lit("Topic "), F.col("topic").cast("string"), F.lit(": "))).otherwise(F.lit(" "))
+    return rows.select("topic", "part", F.concat(begins, F.array_join(F.transform("_w", lambda s: s["weight"].cast("string")), " ")).alias("text"))
+
+
+def write_topic_rows(rows: DataFrame, path: str) -> None:
+    """The parts as text, sorted by topic and part over all files: read in file order they are the topics'
+    lines, cut at the parts' ends."""
+    rows.repartitionByRange("topic", "part").sortWithinPartitions("topic", "part").select(
+        F.concat_ws("\t", F.col("topic").cast("string"), F.col("part").cast("string"), "text").alias("value")).write.text(path)
 
 
-def topic_distributions(weights: DataFrame, vectors: DataFrame, k: int, doc_number: str = "doc_number") -> DataFrame:
-    """M8: ``(doc_number, topicDistribution)``, the fitted weights of every document scaled to
-    sum 1; a document without terms has zeros."""
-    docs = vectors.select(F.col("label").cast("long").alias(doc_number), F.col("graph_id").alias("id"))
+def topic_distributions(model: TopicModel, docs: DataFrame, doc_number: str = "doc_number") -> DataFrame:
+    """M8: ``docs`` with ``topicDistribution``, the fitted weights of every document scaled to sum 1; a
+    document without terms has zeros."""
     total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
-    zeros = F.array_repeat(F.lit(0.0), k)
-    return docs.join(weights.where("id >= 0"), "id", "left").select(
-        doc_number, F.coalesce(F.transform("weights", lambda x: x / total), zeros).alias("topicDistribution"))
+    fitted = model.docs.select(F.col("doc_number").alias("_number"), F.transform("weights", lambda x: x / total).alias("_share"))
+    zeros = F.array_repeat(F.lit(0.0), model.k)
+    return (docs.join(fitted, F.col(doc_number) == F.col("_number"), "left")
+            .select(*docs.columns, F.coalesce("_share", zeros).alias("topicDistribution")))

@@ -19,13 +19,14 @@ from tweetlake.operators.evaluate import accuracy, mismatches, mse, test_error
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor,
                                         hash_split, labelled_points, random_split, tree_text)
 from tweetlake.operators.dictionary import dictionary_from_tokens
-from tweetlake.operators.indexing import index_tokens
-from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
-from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions, topic_rows, topic_terms
+from tweetlake.operators.indexing import index_tokens, with_index
+from tweetlake.operators.matrix import doc_token_pairs, presence_long
+from tweetlake.operators.topics import fit_topics, topic_distributions, topic_rows, topic_terms, write_topic_rows
 from tweetlake.plans.registry import query
 from tweetlake.session import scratch_path
-from tweetlake.sources.sinks import array_text, load_model, pair_text, save_model
+from tweetlake.sources.sinks import array_text, load_model, pair_text, save_model, write_text
 from tweetlake.sources.tables import table
+from tweetlake.sources.text import read_text
 
 # ---------------------------------------------------------------------------------------------
 # K-means with known centres
@@ -192,40 +193,58 @@ def _doc_norm_tokens(spark, d):
     return table(spark, d, "documents").select("doc_id", normalise_tokens("text").alias("tokens"))
 
 
-def _lda_model(spark, d):
-    """The model over the whole dictionary, the dictionary, and the document vectors."""
+def _entries(spark, d):
+    """The documents, the whole dictionary, its size, and the (doc_number, term_id, value) entries."""
     docs = _doc_norm_tokens(spark, d)
     dictionary = index_tokens(dictionary_from_tokens(docs, "tokens"), "token", "term_id")
-    size = dictionary.count()
-    rows = sparse_rows(presence_long(doc_token_pairs(docs), dictionary, pairs_distinct=True), size, docs=docs)
-    vectors = row_vectors(rows, size, "doc_id")
-    return fit_lda(vectors, k=3, max_iter=20, seed=11, optimizer="em"), dictionary, vectors
+    numbers = with_index(docs.select("doc_id").distinct(), [F.col("doc_id")], "doc_number")
+    presence = presence_long(doc_token_pairs(docs), dictionary, pairs_distinct=True)
+    return numbers, dictionary, dictionary.count(), presence.join(numbers, "doc_id").select("doc_number", "term_id", "value")
+
+
+def _topic_model(spark, d):
+    """The model over the whole dictionary, the dictionary, and the numbered documents."""
+    numbers, dictionary, size, entries = _entries(spark, d)
+    return fit_topics(entries, size, k=3, max_iter=20, seed=11), dictionary, numbers
 
 
 @query("lda_term_totals", f"""
 SELECT tok AS term, CAST(count(*) AS DOUBLE) AS total FROM ({SQL_NORM_TOKENS.format(where='')}) GROUP BY tok
 """)
 def q_lda_term_totals(spark, d):
-    model, dictionary, _ = _lda_model(spark, d)
-    terms = topic_terms(fitted_weights(model), dictionary)
-    return terms.groupBy("term").agg(F.round(F.sum("weight"), 6).alias("total"))
+    model, dictionary, _ = _topic_model(spark, d)
+    return topic_terms(model, dictionary).groupBy("term").agg(F.round(F.sum("weight"), 6).alias("total"))
 
 
-@query("lda_doc_sums", f"""
+SQL_DOC_SUMS = f"""
 SELECT d.doc_id, CASE WHEN count(n.tok) > 0 THEN 1.0 ELSE 0.0 END AS total
 FROM documents d LEFT JOIN ({SQL_NORM_TOKENS.format(where='')}) n ON n.doc_id = d.doc_id GROUP BY d.doc_id
-""")
+"""
+
+
+@query("lda_doc_sums", SQL_DOC_SUMS)
 def q_lda_doc_sums(spark, d):
-    model, _, vectors = _lda_model(spark, d)
-    dist = topic_distributions(fitted_weights(model), vectors, 3, "doc_id")
-    return dist.select("doc_id", F.round(F.aggregate("topicDistribution", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    model, _, numbers = _topic_model(spark, d)
+    total = F.aggregate("topicDistribution", F.lit(0.0), lambda a, x: a + x)
+    return topic_distributions(model, numbers).select("doc_id", F.round(total, 6).alias("total"))
+
+
+@query("topic_doc_text", SQL_DOC_SUMS)
+def q_topic_doc_text(spark, d):
+    """M8 + K4: every document's ``(doc,[p,p,p])`` as text files, read back and parsed."""
+    model, _, numbers = _topic_model(spark, d)
+    path = scratch_path(spark, "topic-distributions")
+    write_text(topic_distributions(model, numbers), path, pair_text("doc_id", array_text("topicDistribution")))
+    lines = read_text(spark, path)
+    shares = F.split(F.regexp_extract("value", r"\[(.*)\]", 1), ",")
+    total = F.aggregate(F.transform(shares, lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + x)
+    return lines.select(F.regexp_extract("value", r"^\((-?[0-9]+),", 1).cast("long").alias("doc_id"), F.round(total, 6).alias("total"))
 
 
 @query("lda_vocab_size", f"SELECT CAST(count(DISTINCT tok) AS BIGINT) AS vocab_size FROM ({SQL_NORM_TOKENS.format(where='')})")
 def q_lda_vocab_size(spark, d):
-    """M9: the size of the fitted model's vocabulary."""
-    model, _, vectors = _lda_model(spark, d)
-    return vectors.limit(1).select(F.lit(model.vocabSize()).cast("long").alias("vocab_size"))
+    """M9: the size of a model's vocabulary is that of the dictionary it is fitted on."""
+    return dictionary_from_tokens(_doc_norm_tokens(spark, d), "tokens").agg(F.count(F.lit(1)).alias("vocab_size"))
 
 
 @query("topic_rows", f"""
@@ -233,13 +252,15 @@ SELECT CAST(row_number() OVER (ORDER BY tok) - 1 AS BIGINT) AS term_id, CAST(cou
 FROM ({SQL_NORM_TOKENS.format(where='')}) GROUP BY tok
 """)
 def q_topic_rows(spark, d):
-    """M7 + U2: ``Topic i: w w ...`` one row per topic, weights in term order; parsed back, a
-    term's weights sum to its document frequency."""
-    model, _, _ = _lda_model(spark, d)
-    rows = topic_rows(topic_terms(fitted_weights(model)))
-    weights = F.split(F.regexp_replace("text", "^Topic [0-9]+: ", ""), " ")
-    long = rows.select(F.posexplode(weights).alias("term_id", "weight"))
-    return long.groupBy(F.col("term_id").cast("long").alias("term_id")).agg(F.round(F.sum(F.col("weight").cast("double")), 6).alias("total"))
+    """M7 + U2: ``Topic i: w w ...`` in parts, weights in term order, written as text; read back and parsed,
+    a term's weights sum to its document frequency."""
+    model, _, _ = _topic_model(spark, d)
+    path, run = scratch_path(spark, "topic-rows"), 8192
+    write_topic_rows(topic_rows(topic_terms(model), run), path)
+    fields = F.split("value", "\t")
+    parts = read_text(spark, path).select(fields[1].cast("long").alias("part"), F.trim(F.regexp_replace(fields[2], "^Topic [0-9]+:", "")).alias("text"))
+    long = parts.select("part", F.posexplode(F.split("text", " ")).alias("at", "weight"))
+    return long.groupBy((F.col("part") * run + F.col("at")).alias("term_id")).agg(F.round(F.sum(F.col("weight").cast("double")), 6).alias("total"))
 
 
 @query("normalise_tokens", f"""

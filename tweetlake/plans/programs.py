@@ -24,7 +24,7 @@ from tweetlake.operators.joins import lookup_join, strict_lookup
 from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
 from tweetlake.operators.models import fit_tree_regressor, labelled_points
 from tweetlake.operators.sql import names_in_range, register_view
-from tweetlake.operators.topics import fit_lda, fitted_weights, row_vectors, topic_distributions
+from tweetlake.operators.topics import fit_topics, topic_distributions
 from tweetlake.plans.ml_queries import SQL_NORM_TOKENS
 from tweetlake.plans.registry import query
 from tweetlake.session import cut_lineage, held, scratch_path
@@ -53,10 +53,9 @@ def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11):
     numbers = with_index(tweets.select("doc_id").distinct(), [F.col("doc_id")], "doc_number")
     rows = sparse_rows(presence_long(doc_token_pairs(tweets), dictionary, pairs_distinct=True), size, docs=tweets)
     rows = cut_lineage(rows.join(numbers, "doc_id").select("doc_id", "doc_number", "indices"))
-    vectors = row_vectors(rows, size)
-    model = fit_lda(vectors, k=k, max_iter=max_iter, seed=seed, optimizer="em")
-    dist = topic_distributions(fitted_weights(model), vectors, k)
-    return (tweets.join(rows.join(dist, "doc_number"), "doc_id")
+    entries = rows.select("doc_number", F.explode("indices").alias("term_id"), F.lit(1.0).alias("value"))
+    model = fit_topics(entries, size, k=k, max_iter=max_iter, seed=seed)
+    return (tweets.join(topic_distributions(model, rows), "doc_id")
             .select("doc_id", "tokens", F.size("indices").alias("n_terms"), "indices", "topicDistribution"))
 
 

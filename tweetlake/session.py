@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -82,3 +83,19 @@ def held(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> I
         yield cached
     finally:
         cached.unpersist()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for functions that run in tasks."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tweetlake_sent", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tweetlake-send-"), "tweetlake_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.join("tweetlake", os.path.relpath(os.path.join(folder, n), top)))
+    sc.addPyFile(path)
+    sc._tweetlake_sent = True
