@@ -10,7 +10,7 @@ so broadcasting it is safe.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tweetlake.session import cut_lineage
@@ -40,3 +40,22 @@ def index_rows(df: DataFrame, key_col: str, index_col: str = "doc_index") -> Dat
     """W1 + P10: ``(index, key)`` pairs, index first as after ``swap``."""
     idx = with_index(df.select(key_col), [F.col(key_col)], index_col)
     return idx.select(index_col, key_col)
+
+
+def number_lines(spark: SparkSession, path: str, index_col: str = "line_no") -> DataFrame:
+    """W1 without a key: ``(line_no, value)``, every text line of a file or folder with its 0-based number, files in
+    the order of their paths, lines in the order of their file.
+
+    The scan knows each line's file and split, and a split is read by one task in order.  So lines are
+    only counted by split (one row per split, which is what is broadcast) and never sorted or moved.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("_split"),
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_mid"))
+    lines = cut_lineage(lines)
+    splits = lines.groupBy("_split", "_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_low"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("_split", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low")).alias("_off"))
+    return (lines.select("value", "_split", "_mid").join(F.broadcast(offsets), "_split")
+            .select((F.col("_off") + F.col("_mid")).cast("bigint").alias(index_col), "value"))

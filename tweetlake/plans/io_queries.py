@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tweetlake.functions.numeric import composite_key, feature_row_text, round_half_up, round_half_up_text
+from tweetlake.operators.indexing import number_lines
 from tweetlake.operators.joins import last_row_per_key, strict_lookup
 from tweetlake.operators.sql import schema_table
 from tweetlake.operators.wordcount import word_count, word_count_v2
@@ -18,7 +19,7 @@ from tweetlake.functions.text import strip_brackets
 from tweetlake.plans.registry import query
 from tweetlake.plans.text_queries import SKIP_PATTERNS, SQL_CONV_TOKENS, SQL_DOC_WORDS, doc_lines
 from tweetlake.session import scratch_path
-from tweetlake.sources.json import parse_json_strings, read_json_lines
+from tweetlake.sources.json import parse_json_strings, read_json_lines, rejected_json_lines
 from tweetlake.sources.libsvm import read_libsvm
 from tweetlake.sources.sinks import dense_vector_text, pair_text, tab_text, write_libsvm, write_text
 from tweetlake.sources.tables import table
@@ -67,6 +68,72 @@ def q_json_nested(spark, d):
     return parsed.select("name", F.col("address.city").alias("city"), F.col("address.state").alias("state"))
 
 
+@query("json_nested_numbers", """
+SELECT n_nationkey::BIGINT AS key, n_nationkey + 0.5::DOUBLE AS half, n_name AS name FROM nation
+""")
+def q_json_nested_numbers(spark, d):
+    """Whole numbers are inferred as BIGINT and others as DOUBLE, inside objects too."""
+    doc = F.to_json(F.struct(F.col("n_nationkey").alias("key"), F.struct((F.col("n_nationkey") + 0.5).cast("double").alias("half"), "n_name").alias("at")))
+    parsed = parse_json_strings(table(spark, d, "nation").select(doc.alias("value")), "value")
+    return parsed.select("key", F.col("at.half").alias("half"), F.col("at.n_name").alias("name"))
+
+
+# Fixed value: the fields every good line of the next two queries has.
+EVENT_SCHEMA = "id BIGINT, value DOUBLE, tag STRUCT<kind: STRING>"
+
+
+def _event_lines(spark, d) -> str:
+    """Events as JSON lines: of every five, two good (one without a value), one cut short, one whose id is a
+    text, and one that is an array."""
+    e = table(spark, d, "events")
+    whole = F.to_json(F.struct(F.col("event_id").alias("id"), "value", F.struct(F.col("event_type").alias("kind")).alias("tag")))
+    short = F.to_json(F.struct(F.col("event_id").alias("id"), F.struct(F.col("event_type").alias("kind")).alias("tag")))
+    number = F.col("event_id").cast("string")
+    line = (F.when(F.col("event_id") % 5 == 0, whole).when(F.col("event_id") % 5 == 1, F.concat(F.lit('{"id":'), number))
+            .when(F.col("event_id") % 5 == 2, F.concat(F.lit('{"id":"x'), number, F.lit('"}')))
+            .when(F.col("event_id") % 5 == 3, F.concat(F.lit("["), number, F.lit("]"))).otherwise(short))
+    path = scratch_path(spark, "event-lines")
+    write_text(e.select(line.alias("line")), path, "line")
+    return path
+
+
+@query("json_policy", """
+SELECT 'good' AS status, event_id AS id, CASE WHEN event_id % 5 = 0 THEN value END AS value, event_type AS kind, NULL AS line
+FROM events WHERE event_id % 5 IN (0, 4)
+UNION ALL
+SELECT 'bad', NULL, NULL, NULL, CASE event_id % 5 WHEN 1 THEN '{"id":' || event_id WHEN 2 THEN '{"id":"x' || event_id || '"}' ELSE '[' || event_id || ']' END
+FROM events WHERE event_id % 5 IN (1, 2, 3)
+""")
+def q_json_policy(spark, d):
+    """S3 + D2: the good records, and the table of the lines that were left out."""
+    path = _event_lines(spark, d)
+    good = read_json_lines(spark, path, EVENT_SCHEMA, on_error="drop")
+    bad = rejected_json_lines(spark, path, EVENT_SCHEMA)
+    none = F.lit(None)
+    return good.select(F.lit("good").alias("status"), "id", "value", F.col("tag.kind").alias("kind"), none.cast("string").alias("line")).union(
+        bad.select(F.lit("bad"), none.cast("long"), none.cast("double"), none.cast("string"), F.col("value")))
+
+
+@query("json_policy_null", """
+SELECT CASE WHEN event_id % 5 IN (0, 4) THEN event_id END AS id, count(*) AS n FROM events GROUP BY 1
+""")
+def q_json_policy_null(spark, d):
+    """S3 + D2: every line is a record, bad ones are null."""
+    rows = read_json_lines(spark, _event_lines(spark, d), EVENT_SCHEMA, on_error="null")
+    return rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("line_numbers", """
+SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS line_no, CAST(o_orderkey AS VARCHAR) AS value FROM orders
+""")
+def q_line_numbers(spark, d):
+    """Line numbers of a folder of five files, from the scan alone."""
+    path = scratch_path(spark, "numbered-lines")
+    (table(spark, d, "orders").select("o_orderkey").repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey")
+     .select(F.col("o_orderkey").cast("string").alias("value")).write.text(path))
+    return number_lines(spark, path)
+
+
 # ---------------------------------------------------------------------------------------------
 # Text sinks read back
 # ---------------------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from tweetlake.operators.sets import bag_union, intersect_distinct
 from tweetlake.operators.sql import names_in_range, register_view
 from tweetlake.operators.wordcount import (input_words, word_count, word_count_v2, word_count_v2_observed,
                                            words_split_on_space)
-from tweetlake.sources.json import extract_fields
+from tweetlake.sources.json import extract_fields, parse_json_strings
 from tweetlake.sources.text import lines_of
 from tweetlake.sources.tables import table
 from tweetlake.plans.registry import query
@@ -284,6 +284,24 @@ def q_first_token_index(spark, d):
     return first_token_index(docs.select("doc_id", split_on_space(first_line).alias("tokens")), vocab)
 
 
+@query("first_token_bad_json", f"""
+WITH t AS (SELECT word AS token, CAST(row_number() OVER (ORDER BY word) - 1 AS BIGINT) AS term_id
+           FROM (SELECT DISTINCT word FROM ({SQL_CONV_WORDS}))),
+     f AS (SELECT doc_id, string_split(text, chr(10))[1] AS first_line FROM documents),
+     k AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 OR regexp_full_match(first_line, ' +') THEN NULL
+                               ELSE string_split(rtrim(first_line, ' '), ' ')[1] END AS token FROM f)
+SELECT k.doc_id, k.token, CASE WHEN k.doc_id % 7 = 0 THEN 1 ELSE t.term_id END AS term_id FROM k LEFT JOIN t ON k.token = t.token
+""")
+def q_first_token_bad_json(spark, d):
+    """J4 from JSON rows: a row that does not parse has no token and gets number 1."""
+    vocab = index_tokens(dictionary_from_words(conversation_words(spark, d), "word"))
+    docs = table(spark, d, "documents").select("doc_id", F.element_at(split_lines("text"), 1).alias("first"))
+    line = F.when(F.col("doc_id") % 7 == 0, F.lit('{"first": ')).otherwise(F.to_json(F.struct("first", F.lit(1).alias("whole"))))
+    rows = parse_json_strings(docs.select("doc_id", line.alias("line")), "line", "first STRING, whole INT", keep=["doc_id"])
+    rows = rows.select("doc_id", split_on_space("first").alias("tokens"), F.col("whole").isNull().alias("bad"))
+    return first_token_index(rows, vocab, unparseable_col="bad")
+
+
 # ---------------------------------------------------------------------------------------------
 # Set operations
 # ---------------------------------------------------------------------------------------------
