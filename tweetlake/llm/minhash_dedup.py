@@ -256,7 +256,8 @@ def keep(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
             .groupBy("label").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*"))
     alone = base.where((F.col("n") == 0) & F.col("doc_id").isNotNull()).select("doc_id", "h")
     wanted = ours.union(alone).distinct().select(F.col("doc_id").alias("_wanted_id"), F.col("h").alias("_wanted_h"))
-    kept = (docs.withColumn("_h", F.xxhash64("text"))
-            .join(wanted, (F.col("doc_id") == F.col("_wanted_id")) & (F.col("_h") == F.col("_wanted_h")))
-            .dropDuplicates(["doc_id", "_h"]).select(docs.columns))
+    # The row is one struct here, so that no column of it can clash.
+    kept = (docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+            .join(wanted, (F.col("_id") == F.col("_wanted_id")) & (F.col("_h") == F.col("_wanted_h")))
+            .dropDuplicates(["_id", "_h"]).select("_doc.*"))
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
