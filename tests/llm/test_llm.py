@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as E
+from tweetlake.session import scratch_path
 from tweetlake.llm import (components, minhash_dedup, mixing, packing, projection_dedup, quality_net,
                            quality_rules, sharding, toxic_crf, url_filter, warc)
 
@@ -475,3 +476,99 @@ def test_pipeline(spark, sf_dir):
     bits = {r["doc_id"]: r["fail_bits"] for r in quality_rules.ledger(docs).collect()}
     assert ids and all(bits[i] == 0 for i in ids)
     assert isinstance(docs.schema["doc_id"].dataType, T.LongType) and got.where("length > 4096").count() == 0
+
+
+ODD = ("doc_id long, text string, lang string, source string, n_chars long, _h string, _p double, _doc string, _copies int, rate double, "
+       "f1 int, kept boolean, h string, t string")
+
+
+def _odd_documents():
+    """Nulls in every column, empty and very long texts, repeated rows, unlike texts under one id, large ids, near copies."""
+    rng = np.random.default_rng(12)
+    words = [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    first, second = text(120), text(150)
+    rows = [(i, text(int(rng.integers(60, 200))), ["en", "fr", "de", "es", None][i % 5], "s") for i in range(40)]
+    rows += [(100, first, "en", "s"), (101, first, "en", "s"), (101, first, "en", "s"), (102, first + " more", "en", "s"),
+             (2**53 + 1, second, "fr", None), (2**53 + 3, second + " end", "fr", None), (None, text(80), "en", "s"), (103, None, "en", "s"),
+             (104, "", None, None), (105, " \n\t", "de", "s"), (106, text(70), "en", "s"), (106, text(75), "en", "s"), (107, "too short", "en", "s"),
+             (108, text(30_000), "en", "long"), (109, " ".join(["same words again"] * 60), "en", "s")]
+    return [(*r, len(r[1] or ""), "h", 0.1, "d", 7, 9.0, 1, False, "x", "y") for r in rows]
+
+
+def test_pipeline_stages_by_brute_force(spark):
+    """Each stage on odd rows with clashing columns, against a plain version on the stage's own input."""
+    import corpus_pipeline as cp
+    folder = scratch_path(spark, "odd")
+    rows = _odd_documents()
+    spark.createDataFrame(rows, ODD).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 30 or i % 2), 0) for i in range(40)] + [(None, 1, 0), (3, None, None)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    stage = dict(cp.STAGES)
+    names = ["quality_classifier", "quality_rules", "minhash_near_dedup", "mixing_to_targets", "best_fit_packing"]
+    assert list(stage) == names
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain = lambda df: Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    scored = quality_net.score(docs, quality_net.fit(docs, labels)).groupBy("doc_id").agg(F.max("score").alias("s"), F.min("score").alias("low")).collect()
+    out = stage[names[0]](spark, docs, folder)
+    assert out.columns == docs.columns
+    sure = {r["doc_id"] for r in scored if r["low"] >= 0.7}
+    never = {r["doc_id"] for r in scored if r["s"] < 0.7}
+    got = {k[0] for k in plain(out)}
+    assert sure <= got and not got & never
+
+    def passes(text):
+        ws = (text or "").split()
+        grams = Counter(zip(ws, ws[1:], ws[2:]))
+        again = {j for i, g in enumerate(zip(ws, ws[1:], ws[2:])) if grams[g] > 1 for j in (i, i + 1, i + 2)}
+        return len(ws) >= 50 and 100 * len(again) <= 50 * len(ws)
+
+    out = stage[names[1]](spark, docs, folder)
+    assert out.columns == docs.columns and plain(out) == Counter((r[0], r[1]) for r in rows if passes(r[1]))
+
+    docs = out
+    out = stage[names[2]](spark, docs, folder)
+    have = list(dict.fromkeys((r["doc_id"], r["text"]) for r in docs.collect()))
+    sets = {}
+    for i, (_, text) in enumerate(have):
+        ws = text.lower().split()
+        sets[i] = {tuple(ws[j:j + 5]) for j in range(max(1, len(ws) - 4))}
+    at = _components_of({i: s for i, s in sets.items() if have[i][0] is not None}, lambda a, b: 100 * len(a & b) >= 80 * len(a | b))
+    groups: dict[int, list] = {}
+    for i, top in at.items():
+        groups.setdefault(top, []).append(have[i])
+    kept = plain(out)
+    assert out.columns == docs.columns and len(kept) == len(groups) + 1 and set(kept.values()) == {1}
+    for members in groups.values():
+        assert min(m[0] for m in members) in {m[0] for m in members if m in kept} and sum(m in kept for m in members) == 1
+
+    docs = out
+    out = stage[names[3]](spark, docs, folder)
+    rates = mixing.rates(docs, docs.select("doc_id", F.col("lang").alias("domain"))).collect()
+    taken = Counter()
+    for r in out.collect():
+        taken[r["doc_id"]] += 1
+    want = Counter()
+    for r in rates:
+        want[r["doc_id"]] += r["copies"]
+    assert out.columns == docs.columns and taken == Counter({k: v for k, v in want.items() if v})
+
+    once = out.dropDuplicates(["doc_id"])
+    packed, at = _packed(stage[names[4]](spark, once, folder), {r["doc_id"]: r["text"] for r in once.collect()})
+    assert set(packed) == {r["doc_id"] for r in once.collect()}
+    assert stage[names[4]](spark, out, folder).where("piece = 0").count() == sum(taken.values())
+
+
+def test_pipeline_runs_on_odd_and_empty_tables(spark):
+    import corpus_pipeline as cp
+    folder = scratch_path(spark, "odd-run")
+    spark.createDataFrame(_odd_documents(), ODD).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    got = cp.run(spark, folder).collect()
+    assert got and max(r["offset"] + r["length"] for r in got) <= 4096
+    empty = scratch_path(spark, "empty-run")
+    spark.createDataFrame([], ODD).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{empty}/labels.parquet")
+    assert cp.run(spark, empty).count() == 0
