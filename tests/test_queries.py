@@ -16,7 +16,10 @@ FAST = ["word_count", "word_count_skip", "input_words", "json_field", "valid_id_
         "json_nested", "json_sql", "schema_table", "pair_text", "libsvm_roundtrip", "vector_text", "round_half_up",
         "feature_row_text", "keyed_lookup", "kmeans_assign", "kmeans_cost", "normalise_tokens",
         "accuracy", "test_error", "mse", "random_split_union", "json_dictionary", "mismatch_pairs",
-        "doc_vector_text", "input_words_observed", "tweet_topics", "sentiment_points"]
+        "doc_vector_text", "input_words_observed", "tweet_topics", "sentiment_points", "normalise_tokens_stemmed",
+        "stem_vocabulary", "hash_split", "holdout_tree_classify", "holdout_tree_regress", "holdout_logistic", "tree_class_counts",
+        "tree_leaves", "kmeans_k50_settled", "kmeans_centre_plane", "topic_rows", "topic_doc_text", "json_policy",
+        "json_policy_null", "json_nested_numbers", "line_numbers", "first_token_bad_json", "logistic_fit", "model_roundtrip"]
 
 
 def _norm(v):
