@@ -103,16 +103,19 @@ def fit_posterior(docs: DataFrame, labelled: DataFrame, domains: list[str], max_
     return Posterior(logs, prior, float(grid[best]))
 
 
-def rate_of(p: np.ndarray, steps: list[np.ndarray], share: np.ndarray, ahead: bool = False) -> np.ndarray:
-    """The rates after the steps' gaps, from rates of 1; ``ahead``: where the next gap is taken."""
-    r = before = np.ones(len(p))
-    at = r
+def rates_after(p: np.ndarray, steps: list[np.ndarray], share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rates after the steps' gaps, from rates of 1, and where the next gap is taken."""
+    r = at = np.ones(len(p))
     weight = np.where(share > 0, 1 / np.where(share > 0, share, 1), 0)
     for number, gap in enumerate(steps, 1):
         r, before = np.maximum(0, at - (p @ (weight * gap) + PULL * (at - 1)) / (1 + PULL)), r
         # Nesterov: the gap is taken beyond the last step, in its direction.
         at = r + (number - 1) / (number + 2) * (r - before)
-    return at if ahead else r
+    return r, at
+
+
+def rate_of(p: np.ndarray, steps: list[np.ndarray], share: np.ndarray) -> np.ndarray:
+    return rates_after(p, steps, share)[0]
 
 
 class Fitted(NamedTuple):
@@ -137,7 +140,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], close: float = 1
             for part in parts:
                 if len(part):
                     p, n = np.stack(part["p"].to_numpy()), part["tokens"].to_numpy()
-                    total += np.concatenate([(n * rate_of(p, steps, share, ahead)) @ p for ahead in (False, True)])
+                    total += np.concatenate([(n * r) @ p for r in rates_after(p, steps, share)])
             yield pd.DataFrame({"k": range(2 * k), "s": total})
         got = members.select("tokens", "p").mapInPandas(summed, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
         out = np.zeros(2 * k)
