@@ -2,7 +2,10 @@
 
 Every stage gets the documents its predecessor kept, written as Parquet and read again, and
 all but the last return the columns of ``documents``.  Defined results are those of the
-operators; an empty table passes through as an empty table.
+operators: null and empty texts and null ids pass the classifier by their score, the rules drop texts of
+fewer than 50 words, rows without doc_id are never near copies, unlike texts under one doc_id are
+documents of their own, repeated rows leave one, extra columns travel whatever their names, and an
+empty table passes through as an empty table.
 """
 
 from __future__ import annotations
