@@ -388,6 +388,42 @@ def test_communication_matrix():
     assert abs(x.mean() - 7500) < 5 and abs(x.std() - np.sqrt(1875)) < 3
 
 
+def test_matrix_follows_the_law():
+    """Shares of all outcomes of a small matrix against the exact multivariate hypergeometric law."""
+    from itertools import product
+    from math import comb, prod
+    rows, n = [2, 1, 3], 2  # two shards of three places each
+    whole = comb(6, 3)
+    law = {first: prod(comb(r, k) for r, k in zip(rows, first, strict=True)) / whole
+           for first in product(*(range(r + 1) for r in rows)) if sum(first) == 3}
+    seen = Counter(tuple(sharding.communication_matrix(rows, n, seed=s)[:, 0].tolist()) for s in range(4000))
+    assert set(seen) == set(law)
+    for first, p in law.items():
+        assert abs(seen[first] / 4000 - p) < 4 * np.sqrt(p * (1 - p) / 4000)
+
+
+def test_shards_against_a_plain_shuffle(spark, tmp_path):
+    """Every row's shard and slot, worked out again from its place in the files, in any cut of the scan."""
+    spark.range(900).select("id", F.lit("same").alias("text")).coalesce(1).write.parquet(f"{tmp_path}/t")
+    spark.range(900, 1300).select("id", F.lit("same").alias("text")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
+    read = spark.read.parquet(f"{tmp_path}/t")
+    got = {r["id"]: (r["shard"], r["slot"]) for r in sharding.shard(read, 5, seed=3, block_rows=100, stored=True).collect()}
+    files = sorted({r[0] for r in read.select("_metadata.file_path").collect()})
+    ids = [r["id"] for f in files for r in spark.read.parquet(f).collect()]
+    m = sharding.Matrix(lambda b: min(1300, b * 100), 13, 5, 3)
+    placed = [(int(s), int(k)) for b in range(13) for s, k in zip(*m.places(b), strict=True)]
+    parts = -(-1300 // (5 * 100))
+    want = {}
+    for s in range(5):
+        mine = sorted(((k >> 20) % parts, k, i) for i, (at, k) in zip(ids, placed, strict=True) if at == s)
+        want.update({i: (s, slot) for slot, (_, _, i) in enumerate(mine)})
+    assert got == want and Counter(s for s, _ in got.values()) == {s: 260 for s in range(5)}
+    # Both permutations: neither shard nor slot follows the place.
+    assert abs(np.corrcoef([got[i][1] for i in ids], range(1300))[0, 1]) < 0.15
+    with pytest.raises(ValueError):
+        sharding.shard(read.where("id % 2 = 0"), 5, stored=True)
+
+
 def test_url_rules_and_models(spark):
     urls = ["http://A.example.org/es/1?x", "http://example.org/en/1", "http://example.org", "https://x.com/fr/", "https://x.com/de/",
             None, "", "no scheme", "http://notorg/x", "ftp://Org/#y", "a://b.com/fr/?q=http://c.org/z"] + [

@@ -98,7 +98,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_uniform_shards")
 def op8_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tweetlake.llm import sharding
-    out = sharding.shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    out = sharding.shard(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 40, stored=True)
     raw = F.coalesce("text", F.lit("")).cast("binary")
     return out.select("doc_id", (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
                       F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
