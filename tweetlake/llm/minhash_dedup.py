@@ -14,7 +14,9 @@
    are the most common (of a group of edited copies, that nearest to the original); linked
    classes form groups.  Classes that share a posting with another group are paired with its
    centre.  What is linked by then needs no more pairs; of the rest *all* pairs that share a
-   prefix posting and stand in different components are tested.  No pair that could join two components is
+   prefix posting and stand in different components are tested, but for those that can't be similar:
+   the Jaccard distance obeys the triangle inequality, so two classes whose distances from one centre differ by more
+   than a link's distance need no comparison.  No pair that could join two components is
    left out, and within a component none is made that isn't needed.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; a row
@@ -127,6 +129,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             .select("cid", "f1", "f2", "t").mapInPandas(full, "cid long, s array<long>"))
 
 
+def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with ``d``, the Jaccard distance of their full sets."""
+    side = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"))
+    k = F.size(F.array_intersect("s_a", "s_b"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("d", 1 - k / (F.size("s_a") + F.size("s_b") - k))
+    return both.drop("s_a", "s_b")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     side = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"))
@@ -192,29 +202,42 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     full = lambda x: sets.select(F.col("cid").alias(x), F.col("s").alias(f"s_{x}"), F.size("s").alias(f"n_{x}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     similar = close & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
+    # Distances from the group's centre: what can't reach any member, or any class beside the group, stays out.
+    centre = lists.join(now.select(F.col("node").alias("cid"), F.col("label").alias("group")), "cid").groupBy("group").agg(
+        F.max_by("cid", F.struct("common", (-F.col("cid")).alias("low"))).alias("b"))
+    apart = cut(_distances(apart.withColumnRenamed("cid", "a").join(centre, "group"), sets).drop("b"))
+    members = cut(_distances(now.select(F.col("label").alias("group"), F.col("node").alias("a"))
+                             .join(apart.select("group").distinct(), "group").join(centre, "group"), sets)
+                  .select("group", F.col("a").alias("b"), "d"))
+    reach = 1 - percent / 100 + 1e-9
+    outside = apart.join(members.groupBy("group").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "group").where(
+        F.col("d").between(F.col("lo") - reach, F.col("hi") + reach)).select("group", "a", "d")
+    inside = members.join(outside.groupBy("group").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "group").where(
+        F.col("d").between(F.col("lo") - reach, F.col("hi") + reach)).select("group", "b", "d")
+    singles = apart.where("alone").select("group", "a", "d")
     # What is compared with a group, or beside it, is laid out in cells of about PART by PART classes; the
     # pairs are told apart within their cell, so no cell is shipped again and none is larger than that.
-    parts = (now.groupBy(F.col("label").alias("group")).agg(F.count(F.lit(1)).alias("members"))
-             .join(apart.groupBy("group").agg(F.count(F.lit(1)).alias("beside"), F.sum(F.col("alone").cast("long")).alias("alone")), "group")
-             .select("group", *[(1 + F.floor(F.col(c) / PART)).alias(f"p_{c}") for c in ("members", "beside", "alone")]))
+    counted = [x.groupBy("group").agg(F.lit(name).alias("side"), F.count(F.lit(1)).alias("n"))
+               for name, x in (("members", inside), ("beside", outside), ("alone", singles))]
+    sides = counted[0].union(counted[1]).union(counted[2]).groupBy("group").pivot("side", ["members", "beside", "alone"]).sum("n")
+    parts = cut(sides.select("group", *[(1 + F.floor(F.coalesce(c, F.lit(0)) / PART)).alias(f"p_{c}")
+                                        for c in ("members", "beside", "alone")]))
     cell = ["group", "row", "col"]
 
     def laid(side: DataFrame, x: str, own: str, at: str, other: str, along: str) -> DataFrame:
         return (side.join(parts, "group").join(full(x), x).withColumn(at, F.pmod(F.xxhash64(x), F.col(own)))
                 .withColumn(along, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
-                .select(*cell, x, f"s_{x}", f"n_{x}"))
+                .select(*cell, x, f"s_{x}", f"n_{x}", F.col("d").alias(f"d_{x}")))
 
     def compared(left: DataFrame, rows: str, right: DataFrame, cols: str) -> DataFrame:
-        return laid(left, "a", rows, "row", cols, "col").join(laid(right, "b", cols, "col", rows, "row"), cell)
+        return laid(left, "a", rows, "row", cols, "col").join(laid(right, "b", cols, "col", rows, "row"), cell).where(
+            F.abs(F.col("d_a") - F.col("d_b")) <= reach)
 
-    members = now.select(F.col("label").alias("group"), F.col("node").alias("b"))
-    outside = apart.withColumnRenamed("cid", "a")
-    singles = outside.where("alone").select("group", "a")
-    rest = (compared(outside.select("group", "a"), "p_beside", members, "p_members").where(similar)
+    rest = (compared(outside, "p_beside", inside, "p_members").where(similar)
             .select(*cell, "a", "b").distinct().select("a", "b"))
     beside_one = (compared(singles, "p_alone", singles.withColumnRenamed("a", "b"), "p_alone")
                   .where((F.col("a") < F.col("b")) & similar).select(*cell, "a", "b").distinct().select("a", "b"))
-    groups = apart.groupBy("cid").agg(F.collect_list("group").alias("g"))
+    groups = apart.groupBy(F.col("a").alias("cid")).agg(F.collect_list("group").alias("g"))
     single = (posted.where("alone").groupBy("cid").agg(F.sort_array(F.collect_list("item")).alias("p"))
               .join(groups, "cid", "left").join(classes.select("cid", "n", "items"), "cid")
               .select("cid", "p", F.coalesce("g", F.array().cast("array<bigint>")).alias("g"), "n", "items",
