@@ -4,13 +4,21 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tweetlake.operators.indexing import index_tokens, with_index
+from tweetlake.operators.indexing import index_tokens, number_rows, with_index
 from tweetlake.operators.joins import last_row_per_key, lookup_join, strict_lookup
 from tweetlake.operators.matrix import dense_presence_text, presence_long, sparse_rows
 from tweetlake.operators.sets import bag_union, intersect_distinct
 from tweetlake.operators.sql import names_in_range, register_view, schema_table
 
 
+def test_number_rows_is_dense_and_stays(spark):
+    df = spark.range(0, 1000, 1, 7).where("id % 3 > 0").select("id", F.rand().alias("r"))
+    numbered = number_rows(df, "ix")
+    one, two = ([tuple(x) for x in numbered.orderBy("ix").collect()] for _ in range(2))
+    assert one == two and [x[2] for x in one] == list(range(666)) and len({x[0] for x in one}) == 666
+    assert number_rows(df.where("id < 0"), "ix").count() == 0
+
+
 def test_with_index_matches_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(7)
     got = with_index(df, [F.col("k")], "ix")

@@ -1,5 +1,8 @@
 """Golden rows for the text expressions, including every D1 edge."""
 
+import itertools
+import re
+
 from tweetlake.functions.text import (normalise_tokens, parse_numbers, remove_patterns, split_lines,
                                       split_on_space, strip_brackets, tokenize_whitespace)
 from tweetlake.operators.wordcount import word_count, word_count_v2, word_count_v2_observed
@@ -19,6 +22,14 @@ def test_split_lines_all_terminators(spark):
     assert _one(spark, split_lines("v"), ["a\nb\r\nc\rd"]) == [["a", "b", "c", "d"]]
 
 
+def test_split_lines_equals_the_pattern_form(spark):
+    parts = ["", "a", " ", "\n", "\r", "\r\n", "é"]
+    texts = ["".join(p) for n in range(4) for p in itertools.product(parts, repeat=n)]
+    want = [re.split(r"\r\n|\r|\n", re.sub(r"(\r\n|\r|\n)\Z", "", t)) if t else [] for t in texts]
+    assert _one(spark, split_lines("v"), texts) == want
+    assert _one(spark, split_lines("v"), ["x", None]) == [["x"], None]
+
+
 def test_tokenize_whitespace_never_empty(spark):
     got = _one(spark, tokenize_whitespace("v"), ["  a\tb\n c\fd  ", "", " x y"])
     assert got == [["a", "b", "c", "d"], [], [" x", "y"]]

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tweetlake.functions.stopwords import STOP_WORDS
 
-# Line terminators recognised by Hadoop's line reader (textFile): \n, \r\n and \r.
-LINE_BREAK = r"\r\n|\r|\n"
 # java.util.StringTokenizer default delimiters: space, tab, newline, carriage return, form feed.
 TOKENIZER_DELIMS = " \t\n\r\f"
 
@@ -18,10 +16,14 @@ def _c(col) -> Column:
 
 
 def split_lines(col) -> Column:
-    """Array of the text's lines (textFile semantics): a final line break ends the last line and
-    begins none; the empty text has no lines."""
+    """Array of the text's lines (textFile semantics): lines end at ``\\n``, ``\\r\\n`` or ``\\r``, a final
+    line break ends the last line and begins none, and the empty text has no lines.  Only texts
+    with a ``\\r`` are rewritten; the split is on one character, which needs no pattern."""
     c = _c(col)
-    lines = F.split(F.regexp_replace(c, r"(\r\n|\r|\n)\z", ""), LINE_BREAK)
+    ended = (F.when(F.endswith(c, F.lit("\r\n")), F.left(c, F.length(c) - 2))
+             .when(F.endswith(c, F.lit("\n")) | F.endswith(c, F.lit("\r")), F.left(c, F.length(c) - 1)).otherwise(c))
+    unix = F.replace(F.replace(ended, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    lines = F.split(F.when(F.contains(c, F.lit("\r")), unix).otherwise(ended), "\n")
     return F.when(c == "", F.array().cast("array<string>")).otherwise(lines)
 
 
@@ -29,7 +31,7 @@ def split_on_space(col) -> Column:
     """``String.split(" ")`` (D1): trailing empty words dropped, leading/inner ones kept,
     the empty string gives one empty word and a spaces-only string gives none."""
     c = _c(col)
-    return (F.when(c.rlike("^ +$"), F.array().cast("array<string>"))
+    return (F.when((c != "") & (F.rtrim(c) == ""), F.array().cast("array<string>"))
             .otherwise(F.split(F.rtrim(c), " ")))
 
 

@@ -16,13 +16,11 @@ from pyspark.sql import functions as F
 from tweetlake.session import cut_lineage
 
 
-def with_index(df: DataFrame, order_by: list, index_col: str = "index") -> DataFrame:
-    """Add ``index_col`` (bigint) = 0-based position of the row in ``order_by`` order.
-    Ties in ``order_by`` are numbered in an arbitrary but fixed order; give a unique key."""
-    tagged = (df.orderBy(*order_by)
-              .select("*", F.spark_partition_id().alias("_pid"),
-                      F.monotonically_increasing_id().alias("_mid")))
-    tagged = cut_lineage(tagged)
+def number_rows(df: DataFrame, index_col: str = "index") -> DataFrame:
+    """``df`` with ``index_col`` (bigint), a dense number from 0 in the order its partitions are read.  The rows
+    are written once into the checkpoint folder, so whoever reads the result gets the same numbers
+    and does not compute ``df`` again."""
+    tagged = cut_lineage(df.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")))
     per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -31,6 +29,12 @@ def with_index(df: DataFrame, order_by: list, index_col: str = "index") -> DataF
             .select(*df.columns, (F.col("_off") + local).cast("bigint").alias(index_col)))
 
 
+def with_index(df: DataFrame, order_by: list, index_col: str = "index") -> DataFrame:
+    """Add ``index_col`` (bigint) = 0-based position of the row in ``order_by`` order.
+    Ties in ``order_by`` are numbered in an arbitrary but fixed order; give a unique key."""
+    return number_rows(df.orderBy(*order_by), index_col)
+
+
 def index_tokens(dictionary: DataFrame, token_col: str = "token", index_col: str = "term_id") -> DataFrame:
     """Token -> its 0-based line number in the sorted dictionary (binary string order)."""
     return with_index(dictionary.select(token_col), [F.col(token_col)], index_col)

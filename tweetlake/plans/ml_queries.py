@@ -19,7 +19,7 @@ from tweetlake.operators.evaluate import accuracy, mismatches, mse, test_error
 from tweetlake.operators.models import (fit_logistic, fit_tree_classifier, fit_tree_regressor,
                                         hash_split, labelled_points, random_split, tree_text)
 from tweetlake.operators.dictionary import dictionary_from_tokens
-from tweetlake.operators.indexing import index_tokens, with_index
+from tweetlake.operators.indexing import index_tokens, number_rows
 from tweetlake.operators.matrix import doc_token_pairs, presence_long
 from tweetlake.operators.topics import fit_topics, topic_distributions, topic_rows, topic_terms, write_topic_rows
 from tweetlake.plans.registry import query
@@ -194,12 +194,12 @@ def _doc_norm_tokens(spark, d):
 
 
 def _entries(spark, d):
-    """The documents, the whole dictionary, its size, and the (doc_number, term_id, value) entries."""
-    docs = _doc_norm_tokens(spark, d)
+    """The numbered documents, the whole dictionary, its size, and the (doc_number, term_id, value) entries.
+    The tokens travel with the numbers, so the texts are tokenised once."""
+    docs = number_rows(_doc_norm_tokens(spark, d), "doc_number")
     dictionary = index_tokens(dictionary_from_tokens(docs, "tokens"), "token", "term_id")
-    numbers = with_index(docs.select("doc_id").distinct(), [F.col("doc_id")], "doc_number")
-    presence = presence_long(doc_token_pairs(docs), dictionary, pairs_distinct=True)
-    return numbers, dictionary, dictionary.count(), presence.join(numbers, "doc_id").select("doc_number", "term_id", "value")
+    entries = presence_long(doc_token_pairs(docs, "doc_number"), dictionary, "doc_number", pairs_distinct=True)
+    return docs.select("doc_id", "doc_number"), dictionary, dictionary.count(), entries
 
 
 def _topic_model(spark, d):

@@ -19,7 +19,7 @@ from tweetlake.functions.text import normalise_tokens
 from tweetlake.operators.cluster import discretise
 from tweetlake.operators.dictionary import dictionary_from_tokens
 from tweetlake.operators.evaluate import mse
-from tweetlake.operators.indexing import index_tokens, with_index
+from tweetlake.operators.indexing import index_tokens, number_rows
 from tweetlake.operators.joins import lookup_join, strict_lookup
 from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
 from tweetlake.operators.models import fit_tree_regressor, labelled_points
@@ -46,16 +46,15 @@ def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11):
     over all of it; a document's distribution is the fitted one.
     """
     valid = lines.where(has_string_field("value", "id"))
-    tweets = valid.select(F.from_json("value", _TWEET).alias("t")).select(
-        F.col("t.id").alias("doc_id"), normalise_tokens("t.text").alias("tokens"))
+    tweets = number_rows(valid.select(F.from_json("value", _TWEET).alias("t")).select(
+        F.col("t.id").alias("doc_id"), normalise_tokens("t.text").alias("tokens")), "doc_number")
     dictionary = index_tokens(dictionary_from_tokens(tweets, "tokens"), "token", "term_id")
     size = dictionary.count()
-    numbers = with_index(tweets.select("doc_id").distinct(), [F.col("doc_id")], "doc_number")
-    rows = sparse_rows(presence_long(doc_token_pairs(tweets), dictionary, pairs_distinct=True), size, docs=tweets)
-    rows = cut_lineage(rows.join(numbers, "doc_id").select("doc_id", "doc_number", "indices"))
+    presence = presence_long(doc_token_pairs(tweets, "doc_number"), dictionary, "doc_number", pairs_distinct=True)
+    rows = cut_lineage(sparse_rows(presence, size, "doc_number", docs=tweets).select("doc_number", "indices"))
     entries = rows.select("doc_number", F.explode("indices").alias("term_id"), F.lit(1.0).alias("value"))
     model = fit_topics(entries, size, k=k, max_iter=max_iter, seed=seed)
-    return (tweets.join(topic_distributions(model, rows), "doc_id")
+    return (tweets.join(topic_distributions(model, rows), "doc_number")
             .select("doc_id", "tokens", F.size("indices").alias("n_terms"), "indices", "topicDistribution"))
 
 
