@@ -118,6 +118,19 @@ def test_classifiers_on_odd_rows(docs, none, labels):
     assert quality_net.keep(docs, quality_net.fit(docs, labels)).columns == docs.columns
 
 
+def test_word_vectors_equal_one_pass(spark):
+    """Sums added over many tasks in two rounds are those of one pass over all texts."""
+    texts = [" ".join(f"w{(i * j) % 31}" for j in range(i % 40)) for i in range(300)]
+    total, counts = np.zeros((quality_net.ROWS, quality_net.DIM)), np.zeros(quality_net.ROWS, dtype=np.int64)
+    quality_net.context_sums(texts, total, counts)
+    centred = total - np.outer(counts, total.sum(0) / counts.sum())
+    size = np.linalg.norm(centred, axis=1, keepdims=True)
+    want = np.hstack([centred / np.where(size > 0, size, 1), (1e-3 / (1e-3 + counts / counts.sum()))[:, None]])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(11)
+    assert np.abs(quality_net.fit_vectors(docs) - want)[counts > 0].max() < 1e-6
+    assert not quality_net.fit_vectors(docs.where("false")).any()
+
+
 def test_a_long_text_does_not_end_the_sample(spark):
     """One labelled text beyond the budget, wherever the sampling order puts it."""
     rows = [(i, "huge " * 2000 if i in (4, 5) else f"some {'idiot' if i % 2 else 'kind'} words {i}") for i in range(60)]

@@ -3,7 +3,8 @@
 1. Random indexing over the whole corpus: every token has a fixed sparse ternary index vector
    (from a hash); its context vector is the sum of the index vectors of its neighbours within
    two tokens, and its own, over all documents.  Tokens share 2^14 hash rows, so the table has
-   the same size for every corpus; each task sums its part, tasks' sums are added on Spark.
+   the same size for every corpus; each task sums its part, and tasks' sums are added in two
+   rounds, so no task reads the parts of all others.  Sums are whole numbers kept in doubles.
 2. A document is the frequency-weighted mean and spread of its tokens' vectors, with its size
    and the diversity of its tokens and triples.
 3. A two-layer numpy network learns the label from a bounded sample of labelled rows; a
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tweetlake.llm.common import fold, held_out, remember, sample_rows, ship
 
-ROWS, DIM, CHUNKS = 1 << 14, 32, 16
+ROWS, DIM, CHUNKS, FAN = 1 << 14, 32, 16, 256
 WIDTH = 2 * DIM + 4
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _MEMO: dict[bytes, bytes] = {}
@@ -94,19 +95,21 @@ def fit_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             for i in range(0, len(texts), 500):
                 context_sums(texts[i:i + 500], total, counts)
         if counts.any():
-            both = np.hstack([total, counts[:, None]]).astype(np.float32)
+            both = np.hstack([total, counts[:, None]])
             yield pd.DataFrame({"chunk": range(CHUNKS), "sums": [both[k * each:(k + 1) * each].tobytes() for k in range(CHUNKS)]})
 
     def added(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, np.ndarray] = {}
         for part in parts:
             for k, raw in zip(part["chunk"], part["sums"], strict=True):
-                x = np.frombuffer(raw, dtype=np.float32).astype(np.float64)
+                x = np.frombuffer(raw, dtype=np.float64)
                 held[k] = held[k] + x if k in held else x
         yield pd.DataFrame({"chunk": list(held), "sums": [x.tobytes() for x in held.values()]})
 
     parts = docs.select(F.col(text_col).alias("t")).mapInPandas(sums, "chunk int, sums binary")
-    rows = parts.repartition(CHUNKS, "chunk").mapInPandas(added, "chunk int, sums binary").collect()
+    parts = parts.select("chunk", "sums", F.pmod(F.spark_partition_id(), F.lit(FAN)).alias("some"))
+    some = parts.repartition("chunk", "some").select("chunk", "sums").mapInPandas(added, "chunk int, sums binary")
+    rows = some.repartition(CHUNKS, "chunk").mapInPandas(added, "chunk int, sums binary").collect()
     both = np.zeros((ROWS, DIM + 1))
     for k, raw in rows:
         both[k * each:(k + 1) * each] = np.frombuffer(raw, dtype=np.float64).reshape(each, DIM + 1)
