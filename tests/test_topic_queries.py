@@ -27,3 +27,8 @@ def _both(spark, folder, name):
 def test_lda_term_totals_keeps_words(spark, folder):
     got, sql = _both(spark, folder, "lda_term_totals")
     assert dict(got) == WORDS and got == sql
+
+
+def test_lda_vocab_size_counts_words(spark, folder):
+    got, sql = _both(spark, folder, "lda_vocab_size")
+    assert got == sql == [(len(WORDS),)]
