@@ -32,3 +32,8 @@ def test_lda_term_totals_keeps_words(spark, folder):
 def test_lda_vocab_size_counts_words(spark, folder):
     got, sql = _both(spark, folder, "lda_vocab_size")
     assert got == sql == [(len(WORDS),)]
+
+
+def test_topic_rows_keep_words(spark, folder):
+    got, sql = _both(spark, folder, "topic_rows")
+    assert [n for _, n in got] == [WORDS[w] for w in sorted(WORDS)] and got == sql
