@@ -37,3 +37,8 @@ def test_lda_vocab_size_counts_words(spark, folder):
 def test_topic_rows_keep_words(spark, folder):
     got, sql = _both(spark, folder, "topic_rows")
     assert [n for _, n in got] == [WORDS[w] for w in sorted(WORDS)] and got == sql
+
+
+def test_normalise_tokens_keeps_words(spark, folder):
+    got, _ = _both(spark, folder, "normalise_tokens")
+    assert (1, "think want new welcome help ") in got and (3, "think first thanks sea ") in got
