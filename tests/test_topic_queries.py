@@ -42,3 +42,8 @@ def test_topic_rows_keep_words(spark, folder):
 def test_normalise_tokens_keeps_words(spark, folder):
     got, _ = _both(spark, folder, "normalise_tokens")
     assert (1, "think want new welcome help ") in got and (3, "think first thanks sea ") in got
+
+
+def test_tweet_topics_keep_words(spark, folder):
+    got, _ = _both(spark, folder, "tweet_topics")
+    assert got == [("1", 5, 1.0), ("2", 0, 0.0), ("3", 0, 0.0), ("3", 4, 1.0), ("4", 2, 1.0)]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tweetlake.functions.json import has_string_field
+from tweetlake.functions.stopwords import FUNCTION_WORDS
 from tweetlake.functions.text import normalise_tokens
 from tweetlake.operators.cluster import discretise
 from tweetlake.operators.dictionary import dictionary_from_tokens
@@ -25,7 +26,7 @@ from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_ro
 from tweetlake.operators.models import fit_tree_regressor, labelled_points
 from tweetlake.operators.sql import names_in_range, register_view
 from tweetlake.operators.topics import fit_topics, topic_distributions
-from tweetlake.plans.ml_queries import SQL_NORM_TOKENS
+from tweetlake.plans.ml_queries import SQL_WHOLE_TOKENS
 from tweetlake.plans.registry import query
 from tweetlake.session import cut_lineage, held, scratch_path
 from tweetlake.sources.json import read_json_lines
@@ -39,7 +40,7 @@ from tweetlake.sources.tables import table
 _TWEET = StructType([StructField("id", StringType()), StructField("text", StringType())])
 
 
-def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11):
+def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11, stop_words: list[str] | None = None):
     """``lines(value)`` of tweet JSON -> ``(doc_id, tokens, n_terms, indices, topicDistribution)``.
 
     The dictionary is every distinct token, and the topic model is fitted on the sparse rows
@@ -47,7 +48,7 @@ def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11):
     """
     valid = lines.where(has_string_field("value", "id"))
     tweets = number_rows(valid.select(F.from_json("value", _TWEET).alias("t")).select(
-        F.col("t.id").alias("doc_id"), normalise_tokens("t.text").alias("tokens")), "doc_number")
+        F.col("t.id").alias("doc_id"), normalise_tokens("t.text", stop_words).alias("tokens")), "doc_number")
     dictionary = index_tokens(dictionary_from_tokens(tweets, "tokens"), "token", "term_id")
     size = dictionary.count()
     presence = presence_long(doc_token_pairs(tweets, "doc_number"), dictionary, "doc_number", pairs_distinct=True)
@@ -65,14 +66,14 @@ def _documents_as_tweets(spark, d):
 
 
 @query("tweet_topics", f"""
-WITH n AS ({SQL_NORM_TOKENS.format(where='')})
+WITH n AS ({SQL_WHOLE_TOKENS.format(where='')})
 SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, count(n.tok) AS n_terms,
        CASE WHEN count(n.tok) > 0 THEN 1.0 ELSE 0.0 END AS total
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 GROUP BY d.doc_id
 """)
 def q_tweet_topics(spark, d):
-    out = tweet_topics(_documents_as_tweets(spark, d))
+    out = tweet_topics(_documents_as_tweets(spark, d), stop_words=FUNCTION_WORDS)
     total = F.aggregate("topicDistribution", F.lit(0.0), lambda a, x: a + x)
     return out.select("doc_id", "n_terms", F.round(total, 6).alias("total"))
 
