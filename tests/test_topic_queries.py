@@ -1,7 +1,11 @@
-"""Queries on whole dictionaries: which words stay."""
+"""Queries on whole dictionaries: which words stay, and what an iteration of the topic model moves."""
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
+from tweetlake.operators import topics
 
 # "the" and "you" are function words; the others are words of the dictionary.
 ROWS = [(1, "I think you want new welcome, help"), (2, "the the You"), (3, None), (3, "Think first thanks the sea"), (4, "new sea")]
@@ -47,3 +51,57 @@ def test_normalise_tokens_keeps_words(spark, folder):
 def test_tweet_topics_keep_words(spark, folder):
     got, _ = _both(spark, folder, "tweet_topics")
     assert got == [("1", 5, 1.0), ("2", 0, 0.0), ("3", 0, 0.0), ("3", 4, 1.0), ("4", 2, 1.0)]
+
+
+def test_topics_of_uneven_values(spark):
+    """Cells of several documents, values that differ, a pair met twice and numbers left out, against plain arrays."""
+    rng = np.random.default_rng(8)
+    rows = [(int(a), int(b), float(v)) for a, b, v in zip(rng.integers(0, 90, 900) * 2, rng.integers(0, 50, 900), rng.integers(1, 9, 900) / 2)]
+    rows.append(rows[0])
+    d, t, n = (np.array(x) for x in zip(*rows))
+    k, of_docs, of_terms = 4, np.zeros((180, 4)), np.zeros((50, 4))
+    g = topics._start(d, t, k, 2)
+    for _ in range(5):
+        g = g * (n / g.sum(1))[:, None]
+        of_docs[:], of_terms[:] = 0, 0
+        np.add.at(of_docs, d, g)
+        np.add.at(of_terms, t, g)
+        g = (of_terms[t] + 0.1) * (of_docs[d] + 50 / k) / (of_terms.sum(0) + 50 * 0.1)
+    entries = spark.createDataFrame(rows, "doc_number long, term_id long, value double")
+    for sizes in ({"docs_each": 40, "terms_each": 9}, {"docs_each": 40, "terms_each": 50, "n_docs": 180}):
+        model = topics.fit_topics(entries, 50, k=k, max_iter=4, seed=2, **sizes)
+        got = {r.term_id: r.weights for r in model.terms.collect()}
+        assert set(got) == set(t.tolist()) and all(np.allclose(w, of_terms[i]) for i, w in got.items())
+        got = {r.doc_number: r.weights for r in model.docs.collect()}
+        assert set(got) == set(d.tolist()) and all(np.allclose(w, of_docs[i]) for i, w in got.items())
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("topic_cells_")]
+
+
+def test_an_iteration_moves_terms_not_entries(spark):
+    """Bytes of shuffles that one more iteration writes, where every document holds a quarter of the terms."""
+    entries = spark.range(4000).select(F.col("id").alias("doc_number"), F.explode(F.sequence(F.lit(0), F.lit(99))).alias("x")).select(
+        "doc_number", (F.col("x") * 4 + F.pmod(F.hash("doc_number", "x"), F.lit(4))).cast("long").alias("term_id"), F.lit(1.0).alias("value"))
+    sc = spark.sparkContext._jsc.sc()
+
+    def written() -> int:
+        sc.listenerBus().waitUntilEmpty()
+        every = sc.statusStore().executorList(False)
+        return sum(every.apply(i).totalShuffleWrite() for i in range(every.size()))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        took = []
+        for n in (1, 3):
+            before = written()
+            topics.fit_topics(entries, 400, max_iter=n, docs_each=1000, terms_each=20)
+            took.append(written() - before)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Four blocks of 400 terms and the weights of 4,000 documents; there are 400,000 entries.
+    assert (took[1] - took[0]) / 2 < 800_000
+
+
+def test_blocks_hold_a_number_of_entries(spark):
+    docs = spark.createDataFrame([(["a", "b"],), (None,), ([],), (["a", "b"],)], "tokens array<string>")
+    assert topics.blocks_of(docs) == {"docs_each": topics.ENTRIES, "n_docs": 4}
+    assert topics.blocks_of(docs.limit(0)) == {"docs_each": topics.ENTRIES, "n_docs": 0}
