@@ -25,7 +25,7 @@ from tweetlake.operators.joins import lookup_join, strict_lookup
 from tweetlake.operators.matrix import doc_token_pairs, presence_long, sparse_rows
 from tweetlake.operators.models import fit_tree_regressor, labelled_points
 from tweetlake.operators.sql import names_in_range, register_view
-from tweetlake.operators.topics import fit_topics, topic_distributions
+from tweetlake.operators.topics import blocks_of, fit_topics, topic_distributions
 from tweetlake.plans.ml_queries import SQL_WHOLE_TOKENS
 from tweetlake.plans.registry import query
 from tweetlake.session import cut_lineage, held, scratch_path
@@ -54,7 +54,7 @@ def tweet_topics(lines, k: int = 3, max_iter: int = 20, seed: int = 11, stop_wor
     presence = presence_long(doc_token_pairs(tweets, "doc_number"), dictionary, "doc_number", pairs_distinct=True)
     rows = cut_lineage(sparse_rows(presence, size, "doc_number", docs=tweets).select("doc_number", "indices"))
     entries = rows.select("doc_number", F.explode("indices").alias("term_id"), F.lit(1.0).alias("value"))
-    model = fit_topics(entries, size, k=k, max_iter=max_iter, seed=seed)
+    model = fit_topics(entries, size, k=k, max_iter=max_iter, seed=seed, **blocks_of(tweets))
     return (tweets.join(topic_distributions(model, rows), "doc_number")
             .select("doc_id", "tokens", F.size("indices").alias("n_terms"), "indices", "topicDistribution"))
 
