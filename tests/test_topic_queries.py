@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,40 @@ def test_blocks_hold_a_number_of_entries(spark):
     docs = spark.createDataFrame([(["a", "b"],), (None,), ([],), (["a", "b"],)], "tokens array<string>")
     assert topics.blocks_of(docs) == {"docs_each": topics.ENTRIES, "n_docs": 4}
     assert topics.blocks_of(docs.limit(0)) == {"docs_each": topics.ENTRIES, "n_docs": 0}
+
+
+def _block(k: int = 3, cells: int = 6, docs: int = 4, terms: int = 10):
+    """A block's rows, as a task reads them: weights, then cells of ``docs`` documents that hold all terms."""
+    raw = lambda x, kind: np.asarray(x).astype(kind).tobytes()
+    one = lambda cell, **x: pa.record_batch([pa.array([v], kind) for v, kind in (
+        (0, pa.int64()), (cell, pa.int64()), *((x.get(c), pa.binary()) for c in ("terms", "counts", "d", "n")), (0 if cell < 0 else cell, pa.int64()),
+        *((x.get(c), pa.binary()) for c in ("at", "w")))], ["dblock", "cell", "terms", "counts", "d", "n", "block", "at", "w"])
+    yield one(-1, at=raw(range(terms), "<u2"), w=raw(np.arange(terms * k) + 1, "<f8"))
+    for c in range(cells):
+        yield one(c, terms=raw(range(terms), "<i8"), counts=raw([docs] * terms, "<i4"), d=raw([*range(docs)] * terms, "<u2"), n=raw([1], "<f8"), w=raw(np.ones(docs * k), "<f8"))
+
+
+def test_a_block_is_read_as_a_stream():
+    """The sums of a cell's documents leave before the next cell comes, so a task never holds its block's cells."""
+    read = []
+
+    def rows():
+        for x in _block():
+            read.append(x["cell"][0].as_py())
+            yield x
+
+    run = topics._shared_out(3, 16 * 4, 1 << 16, 1, np.full(3, 155.0), 10)
+    out = []
+    for x in run(rows()):
+        out += x.to_pylist()
+        if out[-1]["kind"] == "d":
+            assert read[-1] == out[-1]["block"] and len(read) == 2 + out[-1]["block"]
+    assert [r["kind"] for r in out] == ["d"] * 6 + ["t"]
+    sums = np.frombuffer(out[-1]["w"]).reshape(-1, 3)
+    assert np.allclose(sums.sum(1), 24) and np.allclose(sum(np.frombuffer(r["w"]).reshape(-1, 3)[:4].sum(0) for r in out[:-1]), sums.sum(0))
+
+
+def test_weights_come_before_cells():
+    first, *others = _block()
+    with pytest.raises(ValueError, match="before its weights"):
+        list(topics._shared_out(3, 16 * 4, 1 << 16, 1, np.full(3, 155.0), 10)(iter([*others, first])))
