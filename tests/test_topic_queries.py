@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,12 @@ def test_weights_come_before_cells():
     first, *others = _block()
     with pytest.raises(ValueError, match="before its weights"):
         list(topics._shared_out(3, 16 * 4, 1 << 16, 1, np.full(3, 155.0), 10)(iter([*others, first])))
+
+
+def test_cells_lie_in_small_row_groups(spark, tmp_path):
+    """What a reader of a block holds at once: row groups of a few cells, not all cells of the block."""
+    # Two documents a cell; a cell's terms and counts are 3 MB and more, and random, so that they stay as large.
+    entries = spark.range(4_000_000).select((F.col("id") % 32).alias("doc_number"), F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("term_id"), F.lit(1.0).alias("value"))
+    topics._cells(entries, 32).coalesce(1).write.options(**topics.FILES).parquet(str(tmp_path / "cells"))
+    groups = [f.row_group(i) for x in sorted((tmp_path / "cells").glob("*.parquet")) for f in [pq.ParquetFile(x).metadata] for i in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 16 and len(groups) > 2 and max(g.total_byte_size for g in groups) < 1 << 25
