@@ -153,3 +153,14 @@ def test_cells_lie_in_small_row_groups(spark, tmp_path):
     topics._cells(entries, 32).coalesce(1).write.options(**topics.FILES).parquet(str(tmp_path / "cells"))
     groups = [f.row_group(i) for x in sorted((tmp_path / "cells").glob("*.parquet")) for f in [pq.ParquetFile(x).metadata] for i in range(f.num_row_groups)]
     assert sum(g.num_rows for g in groups) == 16 and len(groups) > 2 and max(g.total_byte_size for g in groups) < 1 << 25
+
+
+def test_columnar_numbers_are_the_same_rows(spark):
+    """Rows kept as Parquet: dense numbers in the order of partitions, nulls and empty arrays kept, and less on disk."""
+    from tweetlake.operators.indexing import number_rows
+    rows = [(i, None if i % 7 == 0 else [f"word{j}" for j in range(i % 5)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(5, "doc_id")
+    got = number_rows(df, "n", columnar=True)
+    assert sorted((r.doc_id, r.tokens) for r in got.collect()) == rows
+    assert sorted(r.n for r in got.collect()) == list(range(200))
+    assert [r.doc_id for r in got.orderBy("n").collect()] == [r.doc_id for r in number_rows(df, "n").orderBy("n").collect()]
